@@ -57,13 +57,16 @@ def histogram_by(
 ) -> DataFrame:
     """Equal-width histogram per group over the group's observed range, last bin closed.
 
-    Values are clipped to ``[low, high]`` and counted once per (group, value); range and bins come from
-    those counts, so the table is scanned a single time. One distinct value gets a range of width one.
-    The groups are a given list, so the ranges are broadcast.
+    Values are clipped to ``[low, high]`` and counted once per (group, value); range and bins both come
+    from those counts, so the table is scanned a single time (the second use is a reused exchange). One
+    distinct value gets a range of width one. The groups are a given list, so the ranges are broadcast.
     """
     rows = df.where(F.col(group).isin(list(values))).select(group, clip(finite(column), low, high).alias("_v"))
     counts = rows.where(F.col("_v").isNotNull()).groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    bounds = counts.groupBy(group).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    # the row total keeps the counts from being optimised away into a second scan
+    bounds = counts.groupBy(group).agg(
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_n").alias("_rows")
+    ).where(F.col("_rows") > 0)
     same = F.col("_min") == F.col("_max")
     bounds = bounds.select(
         group,
