@@ -140,6 +140,8 @@ ORACLE |= {
     + "select cam_ID, start, setting, lead(start) over (partition by cam_ID order by start) as next_start from unique_sessions",
     "session_join": _ASOF,
     "session_join_union": _ASOF,
+    "session_join_salted": _ASOF,
+    "session_join_shuffled": _ASOF,
     "session_join_broadcast": _ASOF,
     "merged_tracks": _with(("raw", DETECTIONS_SQL), ("sessions", SESSIONS_SQL), _UNIQUE, *_tracks(_PLANTED))
     + "select * from tracks",
@@ -171,9 +173,9 @@ def _histogram(column: str) -> str:
         f"from tracks where bioclip_order in {WIDE_POLL} and {column} is not null), "
         "b as (select bioclip_order, case when min(x) = max(x) then min(x) - 0.5::double else min(x) end as lo, "
         "case when min(x) = max(x) then max(x) + 0.5::double else max(x) end as hi from v group by bioclip_order), "
-        "p as (select bioclip_order, cast(least(floor((x - lo) / (hi - lo) * 20), 19) as integer) as bin, lo, hi "
-        "from v join b using (bioclip_order)) "
-        "select bioclip_order, bin, lo + (hi - lo) * bin / 20 as bin_from, lo + (hi - lo) * (bin + 1) / 20 as bin_to, "
+        "p as (select bioclip_order, cast(least(len(list_filter(range(1, 21), lambda i: x >= i * ((hi - lo) / 20) + lo)), 19) "
+        "as integer) as bin, lo, hi from v join b using (bioclip_order)) "
+        "select bioclip_order, bin, bin * ((hi - lo) / 20) + lo as bin_from, (bin + 1) * ((hi - lo) / 20) + lo as bin_to, "
         "count(*) as count from p group by bioclip_order, bin, lo, hi"
     )
 
@@ -294,6 +296,7 @@ ORACLE |= {
     "sample_all": _with(*TRACKS) + f"select * from tracks where det_conf_mean > 0.5 order by {_md5('sample_all')} limit 100",
     "sample_all_wide": _with(WIDE) + f"select * from tracks where det_conf_mean > 0.5 order by {_md5('sample_all')} limit 500",
     "sample_large": _with(WIDE) + _draw("tracks", "bioclip_order", 2500, "large"),
+    "sample_n_large": _with(WIDE) + f"select * from tracks order by {_md5('large')} limit 20000",
     "strata_thresholds": _with(*TRACKS, ("t", "select unnest([0.2::double, 0.5::double, 0.55::double]) as threshold"), ("p", "select tracks.*, threshold from tracks join t on top1_prob_weighted > threshold where bioclip_family = 'Syrphidae'"))
     + _draw("p", "threshold", 30, "strata_thresholds"),
     "strata_genus": _with(*TRACKS, _GENUS) + "select * from genus",

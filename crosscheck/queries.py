@@ -139,9 +139,19 @@ def session_join(spark, sf_dir):
 
 @query
 def session_join_union(spark, sf_dir):
+    return _joined(spark, sf_dir, strategy="union")
+
+
+@query
+def session_join_salted(spark, sf_dir):
     return _joined(spark, sf_dir, strategy="union", salts=4)
 
 
+@query
+def session_join_shuffled(spark, sf_dir):
+    return _joined(spark, sf_dir, broadcast_rows=0)
+
+
 @query
 def session_join_broadcast(spark, sf_dir):
     return _joined(spark, sf_dir, strategy="interval")
@@ -294,6 +304,11 @@ def sample_large(spark, sf_dir):
     return op.stratified_sample(wide_tracks(spark, sf_dir), ["bioclip_order"], 2500, salt="large")
 
 
+@query
+def sample_n_large(spark, sf_dir):
+    return op.sample_n(wide_tracks(spark, sf_dir), 20_000, salt="large")
+
+
 @query
 def strata_thresholds(spark, sf_dir):
     return plans.strata_thresholds(tracks(spark, sf_dir), [0.2, 0.5, 0.55], 30)

@@ -41,11 +41,13 @@ def test_same_rows_after_repartitioning(people):
 
 def test_cut_path_gives_the_same_rows(spark, people):
     plain = ids(op.stratified_sample(people, ["s"], 300, keys=KEYS))
+    whole = ids(op.sample_n(people, 400, keys=KEYS))
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100")
     try:
         assert ids(op.stratified_sample(people, ["s"], 300, keys=KEYS)) == plain
         null = people.withColumn("s", F.when(F.col("s") != "h", F.col("s")))
         assert op.stratified_sample(null, ["s"], 300, keys=KEYS).where("s is null").count() == 300
+        assert ids(op.sample_n(people, 400, keys=KEYS)) == whole
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 

@@ -92,15 +92,22 @@ def median_split(
     median: str = "median",
     label: str = "prob_cat",
     max_groups: int | None = None,
+    cells: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the group's median and a low/high label; rows without a group are dropped.
 
+    Give ``cells`` for a column with very many distinct values per group (see
+    :func:`group_median_refined`).
+
     ``max_groups`` states a proven bound on the number of groups (a fixed domain, a top-N list): their
     medians are broadcast lazily. Otherwise they are held and counted, and broadcast only if few.
     """
     present = df.dropna(subset=list(groups))
-    medians = group_median(present, groups, column, median)
+    if cells is None:
+        medians = group_median(present, groups, column, median)
+    else:
+        medians = group_median_refined(present, groups, column, median, cells)
     if max_groups is not None and max_groups <= broadcast_rows:
         medians = F.broadcast(medians)
     else:

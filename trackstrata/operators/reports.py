@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, cut_labels, finite
@@ -73,15 +73,22 @@ def histogram_by(
         F.when(same, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("_lo"),
         F.when(same, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_hi"),
     )
-    width = F.col("_hi") - F.col("_lo")
-    position = F.floor((F.col("_v") - F.col("_lo")) / width * F.lit(bins))
-    binned = counts.join(F.broadcast(bounds), group).withColumn(
-        "bin", F.least(position, F.lit(bins - 1).cast("bigint")).cast("int")
+    span = F.col("_hi") - F.col("_lo")
+    estimate = F.least(F.floor((F.col("_v") - F.col("_lo")) / span * F.lit(bins)), F.lit(bins - 1).cast("bigint"))
+
+    def edge(place: Column) -> Column:
+        return place * (span / F.lit(float(bins))) + F.col("_lo")
+
+    # the estimate can be one off next to an edge: the edges themselves decide
+    place = F.when(F.col("_v") < edge(F.col("_at")), F.col("_at") - 1).when(
+        (F.col("_v") >= edge(F.col("_at") + 1)) & (F.col("_at") < F.lit(bins - 1)), F.col("_at") + 1
     )
-    return binned.groupBy(group, "bin", "_lo", "_hi").agg(F.sum("_n").alias("count")).select(
-        group,
-        "bin",
-        (F.col("_lo") + width * F.col("bin") / F.lit(bins)).alias("bin_from"),
-        (F.col("_lo") + width * (F.col("bin") + 1) / F.lit(bins)).alias("bin_to"),
-        "count",
+    placed = counts.join(F.broadcast(bounds), group).withColumn("_at", estimate)
+    binned = placed.withColumn("bin", F.coalesce(place, F.col("_at")).cast("int"))
+    return (
+        binned.groupBy(group, "bin", "_lo", "_hi")
+        .agg(F.sum("_n").alias("count"))
+        .select(
+            group, "bin", edge(F.col("bin")).alias("bin_from"), edge(F.col("bin") + 1).alias("bin_to"), "count"
+        )
     )

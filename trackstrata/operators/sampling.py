@@ -17,31 +17,42 @@ from ..model import SEED, TRACK_KEYS
 from ..session import broadcast_if_small
 
 _LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+_DIGITS = 4
 
 
-def _cut(ranked: DataFrame, strata: Sequence[str], n: int, digits: int = 4) -> DataFrame:
-    """Drop rows that cannot be among the ``n`` smallest: per stratum, priorities are counted by their
-    first hex digits, and only the leading cells that together hold ``n`` rows are kept. Exact for any
-    ``n``; the counts are at most 16**digits rows per stratum."""
-    cell = F.substring("_priority", 1, digits)
-    counts = ranked.groupBy(*strata, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(
-        Window.partitionBy(*strata).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    last = (
-        counts.withColumn("_before", F.coalesce(before, F.lit(0)))
-        .where(F.col("_before") < F.lit(n))
-        .groupBy(*strata)
-        .agg(F.max("_cell").alias("_last"))
-        .select(*[F.col(s).alias(f"_of_{s}") for s in strata], "_last")
-    )
-    last = broadcast_if_small(last)
-    same = [F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in strata]
-    return (
-        ranked.join(last, same, "inner")
-        .where(cell <= F.col("_last"))
-        .drop("_last", *[f"_of_{s}" for s in strata])
+def _group_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(_LIMIT_CONF, "1000"))
+
+
+def _cells(ranked: DataFrame, strata: Sequence[str], digits: int) -> DataFrame:
+    """Rows per (stratum, cell of equal leading hex digits) and how many rows come before the cell; at
+    most 16**digits rows per stratum, so the running count never holds a stratum's rows."""
+    counts = ranked.groupBy(*strata, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(*strata).orderBy("_cell") if strata else Window.orderBy("_cell")
+    before = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return counts.select(*strata, "_cell", F.coalesce(before, F.lit(0)).alias("_before"))
+
+
+def _ranked(df: DataFrame, seed: int, salt: str, keys: Sequence[str], digits: int) -> DataFrame:
+    ranked = df.withColumn("_priority", sample_priority(seed, salt, keys))
+    return ranked.withColumn("_cell", F.conv(F.substring("_priority", 1, digits), 16, 10).cast("int"))
+
+
+def _large_sample(
+    df: DataFrame, strata: Sequence[str], n: int, seed: int, keys: Sequence[str], salt: str, digits: int = _DIGITS
+) -> DataFrame:
+    """The same rows for an ``n`` above the group-limit threshold. Only the cells that can hold one of
+    the ``n`` smallest priorities are kept, and rows are ranked within their cell and shifted by the
+    rows before it, so no task sees a whole stratum."""
+    ranked = _ranked(df, seed, salt, keys, digits)
+    cells = _cells(ranked, strata, digits).where(F.col("_before") < F.lit(n))
+    cells = broadcast_if_small(
+        cells.select(*[F.col(s).alias(f"_of_{s}") for s in strata], F.col("_cell").alias("_at"), "_before")
     )
+    same = [F.col("_cell") == F.col("_at"), *[F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in strata]]
+    within = F.row_number().over(Window.partitionBy(*strata, "_cell").orderBy("_priority", *keys))
+    kept = ranked.join(cells, same).withColumn("_place", within + F.col("_before")).where(F.col("_place") <= n)
+    return kept.select(*df.columns)
 
 
 def stratified_sample(
@@ -55,15 +66,15 @@ def stratified_sample(
     """``min(n, size)`` rows of every stratum.
 
     Up to Spark's group-limit threshold each task ships at most ``n`` rows per stratum. Above it Spark
-    would send whole strata to single tasks, so rows past the stratum's cut are dropped first.
+    would send whole strata to single tasks, so larger samples are cut by cells of priorities.
     """
     if n <= 0:
         return df.limit(0)
     if not strata:
         return sample_n(df, n, seed, keys, salt)
+    if n > _group_limit(df):
+        return _large_sample(df, strata, n, seed, keys, salt)
     ranked = df.withColumn("_priority", sample_priority(seed, salt, keys))
-    if n > int(df.sparkSession.conf.get(_LIMIT_CONF, "1000")):
-        ranked = _cut(ranked, strata, n)
     place = F.row_number().over(Window.partitionBy(*strata).orderBy("_priority", *keys))
     return ranked.withColumn("_place", place).where(F.col("_place") <= n).drop("_place", "_priority")
 
@@ -71,7 +82,10 @@ def stratified_sample(
 def sample_n(
     df: DataFrame, n: int, seed: int = SEED, keys: Sequence[str] = TRACK_KEYS, salt: str = ""
 ) -> DataFrame:
-    """``min(n, size)`` rows of the whole table: a top-k per task, then of those."""
+    """``min(n, size)`` rows of the whole table: a top-k per task, then of those; a large ``n`` is cut by
+    cells of priorities instead of being gathered in one task."""
+    if n > _group_limit(df):
+        return _large_sample(df, [], n, seed, keys, salt)
     ranked = df.withColumn("_priority", sample_priority(seed, salt, keys))
     return ranked.orderBy("_priority", *keys).limit(max(n, 0)).drop("_priority")
 
@@ -90,22 +104,20 @@ def chunk(
     salt: str = "chunk",
     part: str = "part",
     position: str | None = None,
-    digits: int = 3,
+    digits: int = _DIGITS,
 ) -> DataFrame:
     """Shuffle the rows and number them into parts of exactly ``size`` (the last may be smaller).
 
     A global rank without a one-task sort: rows are ranked within cells of equal leading hex digits,
     and the running count of at most 16**digits cells (a fixed bound, so broadcast) is added.
     """
-    ranked = df.withColumn("_priority", sample_priority(seed, salt, keys)).withColumn(
-        "_cell", F.conv(F.substring("_priority", 1, digits), 16, 10).cast("int")
-    )
-    counts = ranked.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_cell", F.coalesce(before, F.lit(0)).alias("_before"))
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4")
+    ranked = _ranked(df, seed, salt, keys, digits)
     within = F.row_number().over(Window.partitionBy("_cell").orderBy("_priority", *keys))
-    placed = ranked.join(F.broadcast(offsets), "_cell").withColumn("_place", within + F.col("_before"))
-    numbered = placed.withColumn(part, F.floor((F.col("_place") - 1) / F.lit(size)) + 1)
+    placed = ranked.join(F.broadcast(_cells(ranked, [], digits)), "_cell")
+    numbered = placed.withColumn("_place", within + F.col("_before"))
+    numbered = numbered.withColumn(part, F.floor((F.col("_place") - 1) / F.lit(size)) + 1)
     if position:
         numbered = numbered.withColumn(position, F.col("_place"))
     return numbered.drop("_priority", "_cell", "_before", "_place")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..session import BROADCAST_ROWS, broadcast_if_small
 
 DAY = 86_400
+FACTS_PER_TASK = 2_000_000
 
 
 def _slice(ts: Column | str, seconds: int) -> Column:
@@ -87,12 +88,13 @@ def session_join(
     tie: Sequence[str] = (),
     strategy: str = "sliced",
     slice_seconds: int = DAY,
-    salts: int = 1,
+    salts: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add to each fact the ``columns`` of the latest session of its key with ``start <= ts``.
 
-    Choose ``slice_seconds`` so that a key has at most some dozens of session starts per slice.
+    Choose ``slice_seconds`` so that a key has at most some dozens of session starts per slice. For
+    ``union``, ``salts`` left out is set from the heaviest (key, slice) of the facts.
     """
     kept = facts.columns
     clash = [c for c in columns if c in kept]
@@ -139,10 +141,14 @@ def _union_join(
     ts: str,
     kept: Sequence[str],
     found: Sequence[Column],
-    salts: int,
+    salts: int | None,
 ) -> DataFrame:
     placeable = F.col(by).isNotNull() & F.col(ts).isNotNull()
-    salt = F.pmod(F.xxhash64(*kept), F.lit(salts)).cast("int")
+    if salts is None:
+        cells = facts.where(placeable).groupBy(by, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        salts = 1 + (cells.agg(F.max("_n")).first()[0] or 0) // FACTS_PER_TASK
+    # the task number keeps copies of one fact from sharing a salt
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *kept), F.lit(salts)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     time, values = sessions.schema["_from"].dataType, sessions.schema["_values"].dataType
     rows = facts.where(placeable).select(
