@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackstrata.sources import read_table, spread_small
+
 K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 
 DETECTIONS = {
@@ -59,7 +61,8 @@ REVIEWED = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    stored = read_table(spark, f"{sf_dir}/{name}.parquet")
+    return spread_small(stored, stored.columns[0]) if name in ("events", "lineitem") else stored
 
 
 def _view(df: DataFrame, columns: dict[str, str]) -> DataFrame:

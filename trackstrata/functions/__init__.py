@@ -8,6 +8,7 @@ from .numeric import (
     exact_sum,
     finite,
     mean_from_parts,
+    present,
     round_half_up,
     sum_parts,
     vote_weight,
@@ -37,6 +38,7 @@ __all__ = [
     "membership_label",
     "name_slug",
     "normal_name",
+    "present",
     "prob_class",
     "round_half_up",
     "sample_priority",

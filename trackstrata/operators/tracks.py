@@ -20,6 +20,7 @@ from ..functions import (
     finite,
     mean_from_parts,
     membership_label,
+    present,
     round_half_up,
     sum_parts,
     vote_weight,
@@ -115,17 +116,16 @@ def _part_names(tag: str) -> list[str]:
 
 
 def _measure(tag: str, column: str) -> list[Column]:
-    names = _part_names(tag)
-    sums = [F.sum(part).alias(name) for part, name in zip(sum_parts(column), names)]
-    return [*sums, F.count(finite(column)).alias(f"_{tag}_n")]
+    sums = [F.expr(f"sum({part}) as {name}") for part, name in zip(sum_parts(column), _part_names(tag))]
+    return [*sums, F.expr(f"count({present(column)}) as _{tag}_n")]
 
 
 def _merge(tag: str) -> list[Column]:
-    return [F.sum(name).alias(name) for name in [*_part_names(tag), f"_{tag}_n"]]
+    return [F.expr(f"sum({name}) as {name}") for name in [*_part_names(tag), f"_{tag}_n"]]
 
 
 def _mean(tag: str) -> Column:
-    return mean_from_parts([F.col(n) for n in _part_names(tag)], F.col(f"_{tag}_n"))
+    return mean_from_parts(_part_names(tag), f"_{tag}_n")
 
 
 def vote_cells(

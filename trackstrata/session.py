@@ -26,6 +26,8 @@ def get_spark(app: str = "trackstrata", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # no call-site capture per column: it doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():

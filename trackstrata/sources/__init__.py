@@ -2,7 +2,7 @@
 
 from .checks import require_columns, require_rows
 from .configs import config_quality, merged_config_columns, parse_configs, read_configs, rejected_configs
-from .detections import read_detections, read_table
+from .detections import read_detections, read_table, spread_small
 from .files import file_index, index_paths, read_checklist, stratum_number, with_stratum_number
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "rejected_configs",
     "require_columns",
     "require_rows",
+    "spread_small",
     "stratum_number",
     "with_stratum_number",
 ]
