@@ -18,7 +18,7 @@ from ..session import BROADCAST_ROWS, broadcast_if_small
 
 
 def _middle(low: Column, high: Column) -> Column:
-    return low + (high - low) * F.lit(0.5)
+    return (low + high) * F.lit(0.5)
 
 
 def _from_counts(counts: DataFrame, groups: Sequence[str], alias: str) -> DataFrame:
