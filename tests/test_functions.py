@@ -33,6 +33,13 @@ def test_mean_is_exact_and_independent_of_order(spark):
     assert len(means) == 1
 
 
+def test_decimal_ties_stay_ties(spark):
+    got = values(spark, [0.57, 1.0]).agg(fn.exact_sum("x"), fn.round_half_up(fn.exact_mean("x"), 2)).first()
+    assert tuple(got) == (1.57, 0.79)
+    big = values(spark, [123456.57, 0.01, -7.25]).agg(fn.exact_sum("x")).first()[0]
+    assert big == 123449.33
+
+
 def test_mean_of_nothing_is_null(spark):
     assert values(spark, [None, None]).agg(fn.exact_mean("x")).first()[0] is None
 

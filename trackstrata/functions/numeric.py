@@ -53,9 +53,11 @@ def present(column: str) -> str:
 
 
 def _total(parts: Sequence[str]) -> str:
-    whole, high, low = parts
-    fraction = f"(cast({high} as double) * {float(1 << _SPLIT)}D + cast({low} as double)) / {_UNIT}"
-    return f"(cast({whole} as double) + {fraction})"
+    """The sum in units of 1e-12 as one integer, converted to double once, so that decimal ties such as
+    0.57 + 1.00 = 1.57 stay ties."""
+    whole, high, low = (f"cast({part} as decimal(20,0))" for part in parts)
+    units = f"{whole} * 1000000000000 + ({high} * {1 << _SPLIT} + {low})"
+    return f"(cast({units} as double) / {_UNIT})"
 
 
 def mean_from_parts(parts: Sequence[str], count: str) -> Column:
