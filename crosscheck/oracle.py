@@ -139,6 +139,7 @@ ORACLE |= {
     "session_intervals": _with(*_SESSIONS)
     + "select cam_ID, start, setting, lead(start) over (partition by cam_ID order by start) as next_start from unique_sessions",
     "session_join": _ASOF,
+    "session_join_sliced": _ASOF,
     "session_join_union": _ASOF,
     "session_join_salted": _ASOF,
     "session_join_shuffled": _ASOF,

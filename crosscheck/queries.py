@@ -137,6 +137,11 @@ def session_join(spark, sf_dir):
     return _joined(spark, sf_dir)
 
 
+@query
+def session_join_sliced(spark, sf_dir):
+    return _joined(spark, sf_dir, strategy="sliced")
+
+
 @query
 def session_join_union(spark, sf_dir):
     return _joined(spark, sf_dir, strategy="union")
@@ -149,7 +154,7 @@ def session_join_salted(spark, sf_dir):
 
 @query
 def session_join_shuffled(spark, sf_dir):
-    return _joined(spark, sf_dir, broadcast_rows=0)
+    return _joined(spark, sf_dir, strategy="sliced", broadcast_rows=0)
 
 
 @query

@@ -7,6 +7,7 @@ from trackstrata import operators as op
 
 T0 = datetime(2024, 5, 1)
 STRATEGIES = [
+    dict(),
     dict(strategy="sliced"),
     dict(strategy="sliced", slice_seconds=600),
     dict(strategy="sliced", broadcast_rows=0),

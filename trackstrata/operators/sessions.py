@@ -1,9 +1,10 @@
 """Session intervals and the as-of join of facts to the session in force.
 
-Three strategies give the same rows; every fact is kept, with nulls where no session applies (before
-the first one, unknown or null key, null time):
+The strategies give the same rows; every fact is kept, with nulls where no session applies (before
+the first one, unknown or null key, null time). ``auto``, the default, measures the sessions and takes
+``interval`` when they are few in all and few per key, else ``sliced``.
 
-``sliced`` (default)
+``sliced``
     Time is cut into slices. Each (key, slice) that has facts gets its own short list of intervals:
     the session carried in from earlier slices and those that start inside. Facts then meet them by an
     equi-join on (key, slice) with a range condition that at most one interval satisfies. The lists are
@@ -16,7 +17,7 @@ the first one, unknown or null key, null time):
     repeated per salt, facts are dealt over the salts.
 ``interval``
     For a few sessions per key: join on the key alone with the range condition; the intervals are
-    broadcast only after their number has been checked.
+    broadcast only after their number has been checked. The facts are read once, with no shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from ..session import BROADCAST_ROWS, broadcast_if_small
 
 DAY = 86_400
 FACTS_PER_TASK = 2_000_000
+FEW_PER_KEY = 32
 
 
 def _slice(ts: Column | str, seconds: int) -> Column:
@@ -86,7 +88,7 @@ def session_join(
     start: str = "start",
     columns: Sequence[str] = ("plant_species",),
     tie: Sequence[str] = (),
-    strategy: str = "sliced",
+    strategy: str = "auto",
     slice_seconds: int = DAY,
     salts: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
@@ -104,6 +106,12 @@ def session_join(
     unique = dedupe_sessions(sessions, by, start, columns, tie)
     packed = unique.select(F.col(by), F.col(start).alias("_from"), F.struct(*columns).alias("_values"))
 
+    if strategy == "auto":
+        per_key = packed.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+        total, most = per_key.agg(F.sum("_n"), F.max("_n")).first()
+        few = (total or 0) <= broadcast_rows and (most or 0) <= FEW_PER_KEY
+        strategy = "interval" if few else "sliced"
+
     if strategy == "interval":
         following = F.lead("_from").over(Window.partitionBy(by).orderBy("_from"))
         intervals = packed.withColumn("_to", following).withColumnRenamed(by, "_by")

@@ -22,7 +22,7 @@ def merge_detections(
     raw_dir: str,
     processed_dir: str,
     plant: str = PLANT,
-    strategy: str = "sliced",
+    strategy: str = "auto",
     by_name: bool = False,
     with_source: bool = False,
 ) -> DataFrame:
