@@ -94,6 +94,15 @@ ORACLE: dict[str, str] = {
     "track_top1_filtered": _with(*_tracks(where="confidence >= 0.4::double and confidence < 0.95::double"))
     + "select * from tracks where duration_s > 0 and duration_s <= 80000 "
     "and top1_prob_weighted >= 0.1::double and top1_prob_weighted <= 0.9::double",
+    "track_top1_plain": _with(("det", DETECTIONS_SQL), ("boxed", _boxes()))
+    + f", n as (select {K}, bioclip_order as top1, count(*) as top1_imgs, {_round(_mean('top1_prob'), 2)} as top1_prob_mean "
+    f"from boxed group by {K}, bioclip_order), s as (select {K}, count(*) as track_ID_imgs, min(timestamp) as start_time, "
+    "max(timestamp) as end_time, datesub('second', min(timestamp), max(timestamp)) as duration_s, "
+    f"{_round(_mean('confidence'), 2)} as det_conf_mean, {_round(_mean('bbox_length'), 3)} as bbox_length_mean, "
+    f"{_round(_mean('bbox_width'), 3)} as bbox_width_mean from boxed group by {K}), "
+    f"w as (select *, {_round('top1_prob_mean * (top1_imgs::double / track_ID_imgs::double)', 2)} as top1_prob_weighted, "
+    f"'non-pollinator' as order_category from n join s using ({K})) select * from w qualify row_number() over "
+    f"(partition by {K} order by top1_prob_weighted desc, top1_prob_mean desc, top1) = 1",
     "top1_coalesce": BOXED + "select crop_path, top1, top1_prob from boxed",
     "bbox_metrics": _with(("det", DETECTIONS_SQL), ("boxed", _boxes("12.5::double", "8.0::double")))
     + "select crop_path, bbox_size_x, bbox_size_y, bbox_length, bbox_width from boxed",
@@ -326,6 +335,13 @@ _EXPERT = (
     "case when l.quality = 1 then 'Apis sp.' end as expert_id_free, cast(null as varchar) as expert_id_checklist "
     "from documents d left join labels l using (doc_id)"
 )
+_CONFIGS = (
+    "select concat(event_id, '.json') as filename, date_trunc('second', ts) as start, "
+    "case when event_type <> 'view' then concat('cam', user_id) when event_id = 0 then 'unknown' else cast(event_id as varchar) end as cam_ID, "
+    "case when event_type = 'error' then 'unknown' else event_type end as deployment_setting, "
+    "cast(user_id as double) as location_latitude, true as parse_ok, "
+    "concat_ws(',', case when event_type = 'view' and event_id = 0 then 'cam_ID' end, case when event_type = 'error' then 'deployment_setting' end) as missing from events"
+)
 _LISTED = "(select p_name from part where p_type = 'ECONOMY' and p_size < 10)"
 _METRICS = (
     "count(*) as n_rows, count(label) as n_reviewed, count(*) filter (label = 'correct') as n_correct, "
@@ -340,11 +356,8 @@ ORACLE |= {
     "stratum_number": "select p_partkey, concat('out/strata', p_size, '_', p_type, '.csv') as name, case when p_size between 1 and 8 then p_size end as stratum_number from part",
     "json_first": "select event_id, case when (props::json ->> '$.k') = '0' then 'unknown' else props::json ->> '$.k' end as found from events",
     "json_fields": "select event_id, cast(props::json ->> '$.k' as double) as k, cast(null as double) as nothing from events",
-    "parsed_configs": "select concat(event_id, '.json') as filename, date_trunc('second', ts) as start, "
-    "case when event_type <> 'view' then concat('cam', user_id) when event_id = 0 then 'unknown' else cast(event_id as varchar) end as cam_ID, "
-    "case when event_type = 'error' then 'unknown' else event_type end as deployment_setting, "
-    "cast(user_id as double) as location_latitude, true as parse_ok, "
-    "concat_ws(',', case when event_type = 'view' and event_id = 0 then 'cam_ID' end, case when event_type = 'error' then 'deployment_setting' end) as missing from events",
+    "parsed_configs": _CONFIGS,
+    "config_quality": f"select filename, parse_ok, missing from ({_CONFIGS}) where missing <> ''",
     "attach_labels": f"with r as ({REVIEWED_SQL}) select d.doc_id, d.lang, d.n_chars, r.label as val3_species, "
     "case when r.label is not null then concat('seen in ', d.source) end as comment from documents d join r using (doc_id)",
     "label_domain_check": f"with r as ({REVIEWED_SQL}) select * from r where label is not null and label not in ('correct', 'incorrect')",

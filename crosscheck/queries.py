@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackstrata import functions as fn
 from trackstrata import operators as op
-from trackstrata import plans
+from trackstrata import plans, sources
 from trackstrata.model import CAMERA_PATHS, CORRECTNESS_LABELS, TRACK_KEYS
 from trackstrata.plans.strata import label_tracks
 from trackstrata.session import hold
@@ -64,6 +64,15 @@ def track_top1_filtered(spark, sf_dir):
     return plans.aggregate_tracks(rows, min_duration=">0", max_duration="<=80000", min_prob=">=0.1", max_prob="0.9")
 
 
+@query
+def track_top1_plain(spark, sf_dir):
+    """The classifier format without taxonomy: one class and one probability per detection."""
+    named = [F.col("bioclip_order").alias("top1"), F.col("bioclip_score").alias("top1_prob")]
+    boxes = ["x_min", "x_max", "y_min", "y_max"]
+    rows = detections(spark, sf_dir).select(*KEYS, "timestamp", "confidence", *boxes, *named)
+    return op.track_top1(plans.prepare_detections(rows))
+
+
 @query
 def top1_coalesce(spark, sf_dir):
     return op.normalize_classes(detections(spark, sf_dir)).select("crop_path", "top1", "top1_prob")
@@ -392,8 +401,7 @@ def json_fields(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", *fields)
 
 
-@query
-def parsed_configs(spark, sf_dir):
+def _configs(spark, sf_dir):
     """Config documents written from events: camera under one of two paths, setting, one number."""
     text = F.format_string(
         '{"network": {"hotspot": {"ssid": "%s"}}, "device": {"id": %d}, "deployment": {"setting": "%s", "location": {"latitude": %d}}}',
@@ -408,13 +416,23 @@ def parsed_configs(spark, sf_dir):
         F.date_format("ts", "yyyy-MM-dd_HH-mm-ss").alias("date_time"),
         F.lit("events").alias("source"),
     )
-    parsed = parse_configs(documents, CAMERA_PATHS)
-    return parsed.select(
+    return parse_configs(documents, CAMERA_PATHS)
+
+
+@query
+def parsed_configs(spark, sf_dir):
+    return _configs(spark, sf_dir).select(
         "filename", "start", "cam_ID", "deployment_setting", "location_latitude", "parse_ok",
         F.concat_ws(",", "missing").alias("missing"),
     )
 
 
+@query
+def config_quality(spark, sf_dir):
+    found = sources.config_quality(_configs(spark, sf_dir))
+    return found.select("filename", "parse_ok", F.concat_ws(",", "missing").alias("missing"))
+
+
 @query
 def attach_labels(spark, sf_dir):
     given = reviewed(spark, sf_dir).where("label is not null")
