@@ -15,7 +15,6 @@ from trackstrata.sources import (
     read_detections,
     read_table,
     rejected_configs,
-    require_columns,
 )
 
 HEADER = "cam_ID,rec_ID,track_ID,timestamp,confidence,x_min,y_min,x_max,y_max,bioclip_species,bioclip_genus,bioclip_family,bioclip_order,bioclip_class,bioclip_score,crop_path"
@@ -111,6 +110,15 @@ def test_merge_then_tracks(spark, tmp_path, configs):
         read_table(spark, csv, fmt="csv")
 
 
+def test_merge_needs_both_inputs(spark, tmp_path, configs):
+    put(tmp_path, f"none/{NAME}", HEADER + "\n")
+    put(tmp_path, f"some/{NAME}", HEADER + "\n" + row() + "\n")
+    with pytest.raises(ValueError, match="detections"):
+        plans.merge_detections(spark, configs, str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="configs"):
+        plans.merge_detections(spark, str(tmp_path / "some"), str(tmp_path / "some"))
+
+
 def test_strata_folders_and_manifest(spark, tmp_path):
     df = spark.createDataFrame([("strata3", "hym", 1), ("strata3", "dip", 2), ("strata8", "api_mel", 3)], "family string, stratum string, x int")
     out = sinks.write_strata(df, str(tmp_path / "strata"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..model import PLANT
 from ..operators import session_join
 from ..operators.tracks import ts_or_null
-from ..sources import read_configs, read_detections, require_columns
+from ..session import hold
+from ..sources import read_configs, read_detections, require_columns, require_rows
 
 
 def sessions_from_configs(configs: DataFrame, plant: str = PLANT) -> DataFrame:
@@ -26,11 +27,12 @@ def merge_detections(
     by_name: bool = False,
     with_source: bool = False,
 ) -> DataFrame:
-    """Read both folders and attach the plant of the session in force; one plan, no files between.
-    Rows whose timestamp does not parse stay, without a plant, and keep their text."""
+    """Read both folders and attach the plant of the session in force. The sessions, a small table, are
+    held so that the config files are read once. Rows whose timestamp does not parse stay, without a
+    plant, and keep their text. No config or no detection at all is an error."""
     detections = read_detections(spark, processed_dir, by_name=by_name, with_source=with_source)
-    require_columns(detections, ["cam_ID", "timestamp"], "detections")
-    sessions = sessions_from_configs(read_configs(spark, raw_dir), plant)
+    require_rows(require_columns(detections, ["cam_ID", "timestamp"], "detections"), "detections")
+    sessions = require_rows(hold(sessions_from_configs(read_configs(spark, raw_dir), plant)), "session configs")
     timed = detections.withColumn("_ts", ts_or_null("timestamp"))
     return session_join(
         timed, sessions, "cam_ID", "_ts", "start", [plant], tie=["filename"], strategy=strategy

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import json_fields, json_first, json_truthy
+from ..functions import json_fields, json_first
 from ..model import CAMERA_PATHS, CONFIG_NAME, CONFIG_NUMBERS, CONFIG_STAMP, SETTING_PATHS
 
 UNKNOWN = "unknown"
