@@ -18,12 +18,11 @@ from .common import let, stored
 
 WINDOW_WORDS = 8
 BLANK = r"[\\x20\\x09-\\x0D]"
-#: what to delete from a text to keep one class of characters
+#: What to delete from a text to keep one class of characters. Lower-case ASCII letters, blanks and other rare
+#: characters are one more class, which is what these leave of the text's length.
 CLASSES = {
-    "lower": "[^a-z]+",
     "upper": "[^A-Z]+",
     "digit": "[^0-9]+",
-    "blank": r"[^\\x20\\x09-\\x0D]+",
     "stop": "[^.,;:?\\\\x27\\\\x22()-]+",
     "symbol": "[^!#*$%&|<>@=~^_+/{}\\\\[\\\\]\\\\\\\\]+",
     "letter": "[\\\\x00-\\\\x7F]+",
@@ -62,10 +61,11 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def class_counts(text: str = "text") -> str:
-    """SQL text: characters of each class as an array of doubles."""
+    """SQL text: characters of each class, the last of none of ``CLASSES``, as an array of doubles."""
     text = f"coalesce(cast(`{text}` as string), '')"
     parts = [f"char_length(regexp_replace({text}, '{drop}', ''))" for drop in CLASSES.values()]
-    return f"transform(array({', '.join(parts)}), x -> cast(x as double))"
+    listed = f"transform(array({', '.join(parts)}), x -> cast(x as double))"
+    return let(listed, "a", f"concat(a, array(cast(char_length({text}) as double) - aggregate(a, 0D, (s, x) -> s + x)))")
 
 
 def plain_words(text: str = "text") -> str:
@@ -78,7 +78,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     most ``COMMON_LENGTH`` letters, over all documents of the language. The ``MOST_LANGUAGES`` languages with the most
     documents; only these few rows reach the driver."""
     known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text)
-    width = len(CLASSES)
+    width = len(CLASSES) + 1
     by_class = known.select("lang", F.expr(class_counts(text)).alias("c")).groupBy("lang").agg(F.count("*").alias("docs"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(width)])
     classes = by_class.orderBy(F.desc("docs"), "lang").limit(MOST_LANGUAGES).collect()
     if not classes:
