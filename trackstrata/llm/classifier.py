@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, passed, row_blocks, utf8
+from .common import as_text, passed, row_blocks, stored, utf8
 
 WIDTH, FILTERS = 6, 24
 SEGMENT, CHUNK_SEGMENTS, STEP_SEGMENTS = 16, 16, 15
@@ -166,12 +166,14 @@ def _gradients(p: dict, x: np.ndarray, chunks_of: list[np.ndarray], y: np.ndarra
 def train_quality(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 1200, label: str = "quality", **options) -> ConvNet:
     """Fit on at most ``per_class`` documents of each label value, the first by hash of their id among the ``usable`` rows."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("_y"))
-    order = Window.partitionBy("_y").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    picked = known.where(usable).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).select("doc_id", "_y")
+    known = known.where(usable).select("doc_id", (F.col("_y") > 0).cast("int").alias("_y"))
+    order = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"))
+    # a top-n of each class instead of a window over it: no task meets a whole class
+    picked = stored(known.where("_y = 0").orderBy(*order).limit(per_class).unionByName(known.where("_y = 1").orderBy(*order).limit(per_class)))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
     # a repeated id gives one training row: the smallest text
     sample = sorted(rows.groupBy("doc_id", "_y").agg(F.min("text").alias("text")).collect(), key=lambda r: str(r.doc_id))
-    return fit([(r.text or "").encode() for r in sample], [int(r._y > 0) for r in sample], **options)
+    return fit([(r.text or "").encode() for r in sample], [r._y for r in sample], **options)
 
 
 def score_quality(docs: DataFrame, model: ConvNet, text: str = "text", threshold: float = 0.3) -> DataFrame:

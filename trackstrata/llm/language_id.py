@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, passed, row_blocks, utf8
+from .common import as_text, passed, row_blocks, stored, utf8
 
 HIDDEN, STEPS = 8, 96
+SALTS = 16
 UNKNOWN = "und"
 
 
@@ -196,12 +197,13 @@ def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, most_l
     first by hash of their id among the ``usable`` rows. Only those rows' texts and languages are read."""
     rows = docs.where(usable & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), "lang")
     frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("text"))
-    long_enough = rows.where(F.octet_length("text") >= STEPS).join(F.broadcast(frequent), "lang")
-    # ids only are ranked; the texts of the chosen rows follow by id
-    ranked = long_enough.select("doc_id", "lang", F.xxhash64("text").alias("_h"), "text")
-    keys = ranked.select("doc_id", "lang", "_h").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "_h")))
-    chosen = keys.where(F.col("_n") <= per_lang).drop("_n")
+    # ids only are ranked, in two steps so that no task meets a whole language; the chosen rows' texts follow by id
+    ranked = rows.where(F.octet_length("text") >= STEPS).join(F.broadcast(frequent), "lang").withColumn("_h", F.xxhash64("text"))
+    order = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"), F.col("_h"))
+    keys = ranked.select("doc_id", "lang", "_h").distinct().withColumn("_salt", F.pmod("_h", F.lit(SALTS)))
+    for group in (["lang", "_salt"], ["lang"]):
+        keys = keys.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= per_lang)
+    chosen = stored(keys.select("doc_id", "lang", "_h"))
     sample = ranked.join(F.broadcast(chosen), ["doc_id", "lang", "_h"]).groupBy("doc_id", "lang", "_h").agg(F.min("text").alias("text")).collect()
     sample.sort(key=lambda r: (r.lang, str(r.doc_id), r._h))
     return fit([r.text.encode() for r in sample], [r.lang for r in sample], **options)
