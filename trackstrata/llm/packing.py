@@ -14,6 +14,8 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -25,59 +27,103 @@ from .common import row_blocks, stored
 
 WINDOW, END_ID = 4096, 2
 GROUP_SIZE = 4096
-CACHED_WORDS, CACHED_LENGTH, LONG_TEXT = 200_000, 64, 1 << 20
+CACHED_WORDS, CACHED_IDS, LONG_TEXT = 1_200_000, 1 << 23, 1 << 20
+MARKS = frozenset(".,;:?!")
 
 
 class WordTokenizer:
     """Ids of whole texts, with the ids of words between blanks kept for reuse.
 
     Exact for tokenizers whose pre-tokenizer never joins characters across the blanks split on here: the ids
-    of a text are then those of its blank-separated parts, one after the other.
+    of a text are then those of its blank-separated parts, one after the other. A part of Latin letters only is one
+    word of the vocabulary's merges, so unknown ones are coded many at a time and cut at the word ends
+    in the ids; a mark after such a word is a part of its own. All other parts go through the tokenizer as they are.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {"": 0}
-        self.start, self.flat, self.used = [0, 0], np.zeros(1 << 16, np.uint32), 0
+        self.start, self.entries = np.zeros(1 << 16, np.int64), 1
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the entries, one after the other, and where each ends."""
+        begin = self.start[index]
+        sizes = self.start[index + 1] - begin
+        ends = np.cumsum(sizes)
+        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)
+        return self.flat[source], ends
+
+    def _append(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        first, self.entries = self.entries, self.entries + len(words)
+        while self.entries >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        self.known.update(zip(words, range(first, self.entries)))
+        self.start[first + 1 : self.entries + 1] = ends + self.used
+        self.used += len(ids)
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 8192):
-            part = words[at : at + 8192]
-            for word, coded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                ids = coded.ids
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.known[word] = len(self.start) - 1
-                self.start.append(self.used)
+        known, other = self.known, []
+        simple, simple_stems, marked, marked_stems = [], [], [], []
+        for word in words:
+            if _latin(word):
+                simple.append(word)
+                simple_stems.append(word.lower())
+            elif word[-1] in MARKS and _latin(word[:-1]):
+                marked.append(word)
+                marked_stems.append(word[:-1].lower())
+            else:
+                other.append(word)
+        self._learn_plain([stem for stem in {*simple_stems, *marked_stems} if stem not in known])
+        other += [mark for mark in MARKS if mark not in known and mark not in other]
+        for at in range(0, len(other), 4096):
+            part = other[at : at + 4096]
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self._append(part, np.fromiter(chain.from_iterable(coded), np.uint32), np.cumsum([len(c) for c in coded]))
+        known.update(zip(simple, [known[stem] for stem in simple_stems]))
+        pairs = np.empty(2 * len(marked), np.int64)
+        pairs[::2], pairs[1::2] = [known[stem] for stem in marked_stems], [known[word[-1]] for word in marked]
+        ids, ends = self._gather(pairs)
+        self._append(marked, ids, ends[1::2])
+
+    def _learn_plain(self, stems: list[str]) -> None:
+        for at in range(0, len(stems), 200 * 64):
+            part = stems[at : at + 200 * 64]
+            lines = [" ".join(part[i : i + 200]) for i in range(0, len(part), 200)]
+            ids = np.array([i for coded in self.plain.encode_batch_fast(lines, add_special_tokens=False) for i in coded.ids], np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                raise ValueError("this vocabulary does not mark word ends with </w>")
+            self._append(part, ids, ends)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text; together the texts should be of bounded size."""
         parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > CACHED_WORDS or self.used > 1 << 22:
+        if len(self.known) > CACHED_WORDS or self.used > CACHED_IDS:
             self._clear()
-        fresh = set().union(*parts) - self.known.keys() if parts else set()
-        self._learn(sorted(fresh))
-        get = self.known.__getitem__
+        words = list(chain.from_iterable(parts))
+        index = np.array(list(map(self.known.get, words, repeat(-1))), np.int64)
+        unknown = np.flatnonzero(index < 0).tolist()
+        if unknown:
+            self._learn(list({words[i] for i in unknown}))
+            index[unknown] = [self.known[words[i]] for i in unknown]
         counts = np.array([len(p) for p in parts], np.int64)
-        index = np.fromiter((get(w) for p in parts for w in p), np.int64, counts.sum())
-        start = np.array(self.start, np.int64)
-        sizes = (start[1:] - start[:-1])[index]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(start[:-1][index], sizes)
-        flat = self.flat[source]
+        flat, ends = self._gather(index)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        # a few long words must not stay in the cache
-        if any(len(w) > CACHED_LENGTH * 64 for w in fresh):
-            self._clear()
         return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def long_ids(self, text: str) -> np.ndarray:
@@ -93,13 +139,24 @@ class WordTokenizer:
         return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per worker process, so that tasks that follow each other share its cache."""
+    return WordTokenizer(path)
+
+
+def _latin(word: str) -> bool:
+    """Letters up to U+017F whose lower case is one letter: neither normalization nor the pre-tokenizer changes or cuts them."""
+    return word.isalpha() and (word.isascii() or max(word) <= "\u017f" and "\u0130" not in word and "\u0149" not in word)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens`` (and ``ids`` if asked for)."""
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     schema += ", ids array<int>" if keep_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             offsets = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))])
