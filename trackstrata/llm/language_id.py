@@ -200,7 +200,7 @@ def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, most_l
     # ids only are ranked, in two steps so that no task meets a whole language; the chosen rows' texts follow by id
     ranked = rows.where(F.octet_length("text") >= STEPS).join(F.broadcast(frequent), "lang").withColumn("_h", F.xxhash64("text"))
     order = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"), F.col("_h"))
-    keys = ranked.select("doc_id", "lang", "_h").distinct().withColumn("_salt", F.pmod("_h", F.lit(SALTS)))
+    keys = ranked.select("doc_id", "lang", "_h").distinct().withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)))
     for group in (["lang", "_salt"], ["lang"]):
         keys = keys.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= per_lang)
     chosen = stored(keys.select("doc_id", "lang", "_h"))
