@@ -84,3 +84,8 @@ def let(value: str, name: str, body: str) -> str:
     """SQL text of ``body`` with ``name`` standing for ``value``, computed once. A plain column would be computed again
     wherever the optimizer moves a filter on the result below the projection."""
     return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def broadcast_under(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored table of a few numbers a row, hinted for broadcast if it has at most ``rows`` rows; otherwise joins shuffle it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
