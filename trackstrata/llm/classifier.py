@@ -96,8 +96,8 @@ def training_chunks(texts: list[bytes], train_chunks: int, rng: np.random.Genera
     return np.array(rows, np.uint8).reshape(-1, CHUNK + WIDTH), np.array(owner, np.int64)
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 14, batch: int = 48, rate: float = 0.01, train_chunks: int = 6, seed: int = 7) -> ConvNet:
-    """Adam on the log loss of whole documents; classes weigh the same."""
+def fit(texts: list[bytes], labels: list[int], epochs: int = 14, batch: int = 48, rate: float = 0.01, train_chunks: int = 6, seed: int = 7, least_steps: int = 300) -> ConvNet:
+    """Adam on the log loss of whole documents; classes weigh the same. Few documents are seen more often, for ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
     p = {
         "tables": rng.normal(0, 0.25, (WIDTH, 256, FILTERS)).astype(np.float32),
@@ -112,7 +112,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 14, batch: int = 48
         x, owner = training_chunks(texts, train_chunks, rng)
         of = [np.flatnonzero(owner == i) for i in range(len(texts))] if len(texts) < 300 else np.split(np.arange(len(owner)), np.searchsorted(owner, np.arange(1, len(texts))))
         step = 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-least_steps // -(-len(texts) // batch)))):
             order = rng.permutation(len(texts))
             for at in range(0, len(order), batch):
                 docs = order[at : at + batch]
