@@ -127,3 +127,12 @@ def test_whole_seconds_truncates(spark):
     )
     assert column(df, fn.whole_seconds("a", "b")) == [3600]
     assert column(df, fn.whole_seconds("a", F.col("a") + F.expr("interval 0.95 seconds"))) == [0]
+
+
+def test_strip_removes_tabs_and_line_breaks(spark):
+    from trackstrata.functions.jsonfields import json_truthy
+    from trackstrata.functions.text import empty_to_null, normal_name
+
+    rows = spark.createDataFrame([("\tApis  mellifera\n", '{"k": "\\t cam1 \\n"}'), ("\n", '{"k": 0}')], "name string, j string")
+    got = rows.select(normal_name("name"), empty_to_null("name"), json_truthy("j", "k")).collect()
+    assert [tuple(r) for r in got] == [("apis mellifera", "Apis  mellifera", "cam1"), ("", None, None)]

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip
+
 # JSON values that count as absent
 _EMPTY = ('""', "0", "0.0", "-0.0", "false", "null", "[]", "{}")
 
@@ -22,7 +24,7 @@ def json_path(c: Column | str, path: str, kind: str = "string") -> Column:
 def json_truthy(c: Column | str, path: str) -> Column:
     """The trimmed text of the field, or null if it is missing, empty, zero or false."""
     raw = F.to_json(json_path(c, path, "variant"))
-    return F.when(~raw.isin(list(_EMPTY)), F.trim(json_path(c, path)))
+    return F.when(~raw.isin(list(_EMPTY)), strip(json_path(c, path)))
 
 
 def json_first(c: Column | str, paths: Sequence[str], default: str | None = None) -> Column:

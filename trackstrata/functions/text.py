@@ -10,6 +10,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: Column | str) -> Column:
+    """Without blanks, tabs and line breaks at both ends; ``trim`` alone removes blanks only."""
+    return F.btrim(_col(c), F.lit(" \t\n\r\x0b\x0c"))
+
+
 def basename(c: Column | str, lower: bool = True) -> Column:
     """The last path component, either slash kind; lower-cased by default."""
     name = F.regexp_extract(_col(c), r"[^/\\]+$", 0)
@@ -19,15 +24,15 @@ def basename(c: Column | str, lower: bool = True) -> Column:
 def name_slug(c: Column | str, width: int = 3) -> Column:
     """``'Apis mellifera'`` -> ``'api_mel'``; a single word gives its first letters. For display: two
     names may share a slug."""
-    words = F.split(F.trim(F.lower(_col(c))), r"\s+", 2)
+    words = F.split(strip(F.lower(_col(c))), r"\s+", 2)
     return F.concat_ws("_", F.transform(words, lambda word: F.substring(word, 1, width)))
 
 
 def empty_to_null(c: Column | str) -> Column:
     """Trimmed text, with nothing left read as missing."""
-    return F.nullif(F.trim(_col(c)), F.lit(""))
+    return F.nullif(strip(c), F.lit(""))
 
 
 def normal_name(c: Column | str) -> Column:
     """Trimmed, lower-cased, single-spaced name for matching."""
-    return F.lower(F.regexp_replace(F.trim(_col(c)), r"\s+", " "))
+    return F.lower(F.regexp_replace(strip(c), r"\s+", " "))
