@@ -83,7 +83,8 @@ def test_other_headers_fail_loudly_or_are_read_by_name(spark, tmp_path):
     with pytest.raises(Exception):
         read_detections(spark, str(tmp_path)).collect()
     df = read_detections(spark, str(tmp_path), by_name=True)
-    assert df.columns == names
+    assert df.columns == [*names, "extra"]
+    assert sorted(r.extra for r in df.where("extra is not null").collect()) == ["1"]
     got = {(r.cam_ID, r.confidence, r.bioclip_class, r.crop_path) for r in df.collect()}
     assert got == {("001", 0.8, "Insecta", "a.jpg"), ("007", 0.8, "Insecta", "a.jpg"), ("007", 0.8, None, "a.jpg")}
     assert df.count() == 3
@@ -110,6 +111,36 @@ def test_merge_then_tracks(spark, tmp_path, configs):
         read_table(spark, csv, fmt="csv")
 
 
+PLAIN = "cam_ID,rec_ID,track_ID,timestamp,confidence,x_min,y_min,x_max,y_max,top1,top1_prob,crop_path"
+
+
+def test_plain_format_merges_to_classes(spark, tmp_path, configs):
+    lines = [PLAIN, "001,r,1,2024-05-01T10:00:00,0.8,0.1,0.1,0.3,0.2,bee,0.9,a.jpg"]
+    put(tmp_path, f"plain/{NAME}", "\n".join(lines) + "\n")
+    from trackstrata.model import PLAIN_DETECTION_DDL
+
+    for options in ({"by_name": True}, {"schema": PLAIN_DETECTION_DDL}):
+        merged = plans.merge_detections(spark, configs, str(tmp_path / "plain"), **options)
+        assert merged.columns == [*PLAIN.split(","), "plant_species"]
+        _, tracks = plans.process_detections(merged)
+        assert [(r.top1, r.plant_species) for r in tracks.collect()] == [("bee", "Salvia")]
+    put(tmp_path, f"neither/{NAME}", "cam_ID,timestamp,confidence\n001,2024-05-01T10:00:00,0.8\n")
+    with pytest.raises(ValueError, match="top1"):
+        plans.merge_detections(spark, configs, str(tmp_path / "neither"), by_name=True)
+
+
+def test_rows_that_look_like_headers_are_data(spark, tmp_path):
+    put(tmp_path, f"a/{NAME}", "\n".join([HEADER, row(cam="cam_ID", ts="timestamp"), '002,r,1,t,0.8,0.1,0.1,0.3,0.2,"A, b",Apis,Apidae,Hymenoptera,Insecta,0.9,c.jpg']) + "\n")
+    put(tmp_path, f"b/{NAME}", PLAIN + ",note\n003,r,1,t,0.8,0.1,0.1,0.3,0.2,fly,0.7,d.jpg,x\n")
+    df = read_detections(spark, str(tmp_path), by_name=True, schema=None, with_source=True)
+    assert df.columns == [*HEADER.split(","), "top1", "top1_prob", "note", "source_file"]
+    got = {(r.cam_ID, r.bioclip_species, r.bioclip_score, r.top1, r.top1_prob, r.note) for r in df.collect()}
+    assert got == {("cam_ID", "Apis mellifera", 0.9, None, None, None), ("002", "A, b", 0.9, None, None, None), ("003", None, None, "fly", 0.7, "x")}
+    put(tmp_path, f"c/{NAME}", "1,2,3\n")
+    with pytest.raises(Exception, match="no header line"):
+        read_detections(spark, str(tmp_path), by_name=True).collect()
+
+
 def test_merge_needs_both_inputs(spark, tmp_path, configs):
     put(tmp_path, f"none/{NAME}", HEADER + "\n")
     put(tmp_path, f"some/{NAME}", HEADER + "\n" + row() + "\n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import PLANT
+from ..model import CLASS, CLASS_PROB, PLANT, SCORE
 from ..operators import session_join
 from ..operators.tracks import ts_or_null
 from ..session import hold
@@ -26,12 +26,19 @@ def merge_detections(
     strategy: str = "auto",
     by_name: bool = False,
     with_source: bool = False,
+    schema: str | None = None,
 ) -> DataFrame:
     """Read both folders and attach the plant of the session in force. The sessions, a small table, are
     held so that the config files are read once. Rows whose timestamp does not parse stay, without a
-    plant, and keep their text. No config or no detection at all is an error."""
-    detections = read_detections(spark, processed_dir, by_name=by_name, with_source=with_source)
-    require_rows(require_columns(detections, ["cam_ID", "timestamp"], "detections"), "detections")
+    plant, and keep their text. No config or no detection at all is an error.
+
+    Files of the plain classifier format need ``schema=PLAIN_DETECTION_DDL`` or ``by_name``, which also keeps
+    columns the library does not know. Detections of neither format are an error."""
+    detections = read_detections(spark, processed_dir, schema=schema, by_name=by_name, with_source=with_source)
+    require_columns(detections, ["cam_ID", "timestamp"], "detections")
+    if SCORE not in detections.columns:
+        require_columns(detections, [CLASS, CLASS_PROB], "detections")
+    require_rows(detections, "detections")
     sessions = require_rows(hold(sessions_from_configs(read_configs(spark, raw_dir), plant)), "session configs")
     timed = detections.withColumn("_ts", ts_or_null("timestamp"))
     return session_join(

@@ -3,16 +3,17 @@ apart may disagree on the type of a key column, which breaks the joins on it."""
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote
+import csv
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..model import DETECTION_DDL, DETECTIONS_GLOB
-
+from ..functions.text import strip
+from ..model import DETECTION_DDL, DETECTIONS_GLOB, PLAIN_DETECTION_DDL
+from ..session import broadcast_if_small
 
+SOURCE_FILE = "_source_file"
 SMALL_BYTES = 64 * 1024 * 1024
 
 
@@ -30,26 +31,64 @@ def _csv(spark: SparkSession, schema: StructType, glob: str):
     )
 
 
-def _headers(spark: SparkSession, directory: str, glob: str, required: list[str]) -> DataFrame:
-    """(header line, files that start with it): lines made of column names, found in one text scan."""
+def _lines(spark: SparkSession, directory: str, glob: str) -> DataFrame:
+    """(value, source_file, _start): the lines that are not blank."""
     lines = spark.read.text(directory, recursiveFileLookup=True, pathGlobFilter=glob)
-    names = F.transform(F.split("value", ","), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit(""))))
-    is_header = F.lit(True)
+    found = lines.select("value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start"))
+    return found.where(F.trim("value") != "")
+
+
+def _headers(lines: DataFrame, required: list[str]) -> DataFrame:
+    """(source_file, _header): the first line of each file's first block that names all required columns. Row numbers
+    grow along a block, so a later data row that holds the names is never taken. Other lines do not reach the grouping."""
+    names = F.transform(F.split("value", ","), lambda x: strip(F.replace(x, F.lit('"'), F.lit(""))))
+    numbered = lines.where("_start = 0").withColumn("_at", F.monotonically_increasing_id())
     for column in required:
-        is_header = is_header & F.array_contains(names, column)
-    return (
-        lines.where(is_header)
-        .select(names.alias("names"), F.col("_metadata.file_path").alias("path"))
-        .groupBy("names")
-        .agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    )
+        numbered = numbered.where(F.contains("value", F.lit(column)) & F.array_contains(names, column))
+    return numbered.groupBy("source_file").agg(F.min_by("value", "_at").alias("_header"))
+
+
+def _names(header: str) -> list[str]:
+    names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]))]
+    twice = {n for n in names if names.count(n) > 1}
+    if twice or "" in names:
+        raise ValueError(f"header with empty or repeated names: {header}")
+    return names
+
+
+def _by_name(spark: SparkSession, directory: str, glob: str, wanted: StructType | None, required: list[str]) -> DataFrame:
+    lines = _lines(spark, directory, glob)
+    headers = broadcast_if_small(_headers(lines, required))
+    texts = sorted(r["_header"] for r in headers.select("_header").distinct().collect())
+    if not texts:
+        raise ValueError(f"no file with a header of {required} matches {glob!r} below {directory}")
+    layouts = [_names(t) for t in texts]
+    types = {f.name: f.dataType.simpleString() for f in wanted or _struct(f"{DETECTION_DDL}, {_only_plain()}")}
+    missing = F.raise_error(F.concat(F.lit("no header line in "), F.col("source_file")))
+    rows = lines.join(headers, "source_file", "left").withColumn("_header", F.coalesce("_header", missing)).where("value != _header")
+    parsed = {}
+    for i, (text, names) in enumerate(zip(texts, layouts)):
+        ddl = ", ".join(f"`{n.replace('`', '``')}` {types.get(n, 'string')}" for n in names)
+        parsed[f"_row{i}"] = F.when(F.col("_header") == text, F.from_csv("value", ddl))
+    rows = rows.withColumns(parsed)
+    found = list(dict.fromkeys(n for names in layouts for n in names))
+    order = [*types, *[n for n in found if n not in types]] if wanted else found
+    columns = []
+    for name in order:
+        cells = [F.col(f"_row{i}").getField(name) for i, names in enumerate(layouts) if name in names]
+        columns.append((F.coalesce(*cells) if cells else F.lit(None).cast(types[name])).alias(name))
+    return rows.select(*columns, F.col("source_file").alias(SOURCE_FILE))
+
+
+def _only_plain() -> str:
+    return ", ".join(c for c in PLAIN_DETECTION_DDL.split(", ") if c not in DETECTION_DDL.split(", "))
 
 
 def read_detections(
     spark: SparkSession,
     directory: str,
     glob: str = DETECTIONS_GLOB,
-    schema: str | StructType = DETECTION_DDL,
+    schema: str | StructType | None = DETECTION_DDL,
     by_name: bool = False,
     key: str = "cam_ID",
     with_source: bool = False,
@@ -57,30 +96,17 @@ def read_detections(
     """All detection CSVs below ``directory`` as one scan.
 
     Columns are read by position and a file whose header disagrees with the schema fails loudly.
-    ``by_name`` accepts any header: files are grouped by header line (one more text scan, a handful
-    of distinct headers), read with their own column order, and united by name; a column a file lacks
-    is null. Only file names pass through the driver, as in any file listing.
+    ``by_name`` accepts any header that names ``key`` and ``timestamp`` (found in the files' first blocks; only the
+    distinct header lines reach the driver). Every line is then parsed by its own file's header, one line a row. Columns
+    that the schema does not know are kept as text, those a file lacks are null there; without a schema the
+    columns are the ones found. A file without such a header ends the job.
     """
-    wanted = _struct(schema)
+    if by_name:
+        table = _by_name(spark, directory, glob, None if schema is None else _struct(schema), [key, "timestamp"])
+        return table.withColumnRenamed(SOURCE_FILE, "source_file") if with_source else table.drop(SOURCE_FILE)
+    wanted = _struct(DETECTION_DDL if schema is None else schema)
     source = [F.col("_metadata.file_path").alias("source_file")] if with_source else []
-    if not by_name:
-        return _csv(spark, wanted, glob).csv(directory).select(*wanted.fieldNames(), *source)
-    groups = _headers(spark, directory, glob, [key]).collect()
-    if not groups:
-        raise ValueError(f"no file with a {key!r} header matches {glob!r} below {directory}")
-    frames = []
-    for group in sorted(groups, key=lambda g: g["paths"][0]):
-        fields = StructType()
-        for name in group["names"]:
-            fields.add(name, wanted[name].dataType if name in wanted.fieldNames() else "string")
-        frame = _csv(spark, fields, glob).csv([unquote(p) for p in group["paths"]])
-        present = [c for c in wanted.fieldNames() if c in fields.fieldNames()]
-        frames.append(frame.select(*present, *source))
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    for field in wanted:
-        if field.name not in united.columns:
-            united = united.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return united.select(*wanted.fieldNames(), *[c for c in ["source_file"] if with_source])
+    return _csv(spark, wanted, glob).csv(directory).select(*wanted.fieldNames(), *source)
 
 
 def spread_small(df: DataFrame, by: str, most_bytes: int = SMALL_BYTES) -> DataFrame:
