@@ -205,3 +205,25 @@ def test_refined_median_on_many_values_and_a_hot_group(spark):
     for cells in (1, 64, 4096):
         got = {r.g: r.median for r in op.group_median_refined(df, ["g"], "x", cells=cells).collect()}
         assert got == pytest.approx(exact, rel=1e-15)
+
+
+def test_refined_median_narrows_whatever_the_spread(spark):
+    far = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 == 0, "ties").otherwise("few").alias("g"),
+        F.when(F.col("id") < 5, F.lit(1e12)).when((F.col("id") % 3 == 0) & (F.col("id") % 2 == 1), F.lit(2.5)).otherwise(F.col("id") / 3).alias("x"),
+    ).where("g <> 'few' or id < 40")
+    exact = {r.g: r.m for r in far.groupBy("g").agg(F.median("x").alias("m")).collect()}
+    for most, cells in ((2, 4), (3, 64), (65_536, 64)):
+        got = {r.g: r.median for r in op.group_median_refined(far, ["g"], "x", cells=cells, most=most).collect()}
+        assert got == pytest.approx(exact, rel=1e-15)
+
+
+def test_narrowing_keeps_the_middle_and_few_values(spark):
+    from trackstrata.operators.medians import _from_counts, _narrowed
+
+    counts = spark.range(5_001).select(
+        F.lit("a").alias("g"), F.exp(F.col("id") / 100).alias("_v"), (F.col("id") % 3 + 1).alias("_n"), F.lit(10_002).cast("bigint").alias("_total"), F.lit(0).cast("bigint").alias("_before")
+    )
+    kept = _narrowed(counts, ["g"], 64)
+    assert 1 <= kept.count() <= 160
+    assert _from_counts(kept.select(counts.columns), ["g"], "m").first().m == _from_counts(counts, ["g"], "m").first().m

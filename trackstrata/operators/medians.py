@@ -3,7 +3,7 @@
 A median is taken over (group, value, count) rows: the counts combine on the map side, so a group
 holding a large share of all rows costs only its distinct values. Probabilities rounded to two
 decimals have at most 101 of them. For columns with very many distinct values,
-:func:`group_median_refined` narrows each group to the histogram cell that holds its median first.
+:func:`group_median_refined` narrows each group to a bracket of its median first.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import median_half
-from ..session import BROADCAST_ROWS, broadcast_if_small
+from ..session import BROADCAST_ROWS, broadcast_if_small, hold
 
 
 def _middle(low: Column, high: Column) -> Column:
@@ -53,38 +53,53 @@ def group_median(df: DataFrame, groups: Sequence[str], column: str, alias: str =
 
 
 def group_median_refined(
-    df: DataFrame, groups: Sequence[str], column: str, alias: str = "median", cells: int = 4096
+    df: DataFrame, groups: Sequence[str], column: str, alias: str = "median", cells: int = 64, most: int = 65_536
 ) -> DataFrame:
-    """The same result for columns with unbounded distinct values, without bringing a group's values
-    to one task: per group a histogram of ``cells`` equal-width cells finds the cell (or the two) that
-    holds the middle ranks, and only values in between are counted. Null group values are skipped."""
+    """The same result for columns with unbounded distinct values, however they are spread: no task meets more than
+    ``most`` (2 or more) distinct values of a group. Approximate quantiles close to the middle give each group two values
+    that bracket its median; rows outside are only counted. While a group has more than ``most`` values in its bracket,
+    its quantiles cut it into ``cells`` cells, and the ones that hold the middle ranks stay. Null group values are
+    skipped."""
     value = F.col(column).cast("double")
     rows = df.where(value.isNotNull()).dropna(subset=list(groups)).select(*groups, value.alias("_v"))
-    bounds = rows.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    bounds = broadcast_if_small(bounds)
-    spread = F.col("_hi") - F.col("_lo")
-    position = F.floor((F.col("_v") - F.col("_lo")) / F.when(spread > 0, spread) * F.lit(cells))
-    cell = F.coalesce(F.least(position, F.lit(cells - 1)), F.lit(0)).cast("int")
-    placed = rows.join(bounds, list(groups)).select(*groups, "_v", cell.alias("_cell"))
-    histogram = placed.groupBy(*groups, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*groups)
-    upto = F.sum("_n").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = histogram.withColumns({"_upto": upto, "_total": F.sum("_n").over(group)})
-    first = F.min(F.when(F.col("_upto") >= F.expr("(_total + 1) div 2"), F.col("_cell")))
-    last = F.min(F.when(F.col("_upto") >= F.expr("_total div 2 + 1"), F.col("_cell")))
-    edges = ranked.withColumns({"_from": first.over(group), "_to": last.over(group)})
-    target = edges.groupBy(*groups).agg(
-        F.min("_from").alias("_from"),
-        F.min("_to").alias("_to"),
-        F.min("_total").alias("_total"),
-        F.sum(F.when(F.col("_cell") < F.col("_from"), F.col("_n")).otherwise(F.lit(0))).alias("_before"),
+    edges = rows.groupBy(*groups).agg(F.percentile_approx("_v", [0.4995, 0.5005], 10_000).alias("_e"))
+    placed = rows.join(broadcast_if_small(edges), list(groups))
+    below, above = F.col("_v") < F.col("_e")[0], F.col("_v") > F.col("_e")[1]
+    counted = hold(
+        placed.groupBy(*groups, F.when(~below & ~above, F.col("_v")).alias("_v"), below.alias("_below")).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+    )
+    sizes = counted.groupBy(*groups).agg(
+        F.sum("_n").alias("_total"), F.sum(F.when(F.col("_below"), F.col("_n")).otherwise(F.lit(0))).alias("_before")
     )
-    target = broadcast_if_small(target)
-    kept = placed.join(target, list(groups)).where(F.col("_cell").between(F.col("_from"), F.col("_to")))
-    counts = kept.groupBy(*groups, "_v", "_before", "_total").agg(F.count(F.lit(1)).alias("_n"))
+    inside = counted.where(F.col("_v").isNotNull()).drop("_below")
+    counts = hold(inside.join(broadcast_if_small(sizes), list(groups)))
+    while not counts.groupBy(*groups).count().where(F.col("count") > most).isEmpty():
+        counts = hold(_narrowed(counts, groups, cells))
     return _from_counts(counts, groups, alias)
 
 
+def _narrowed(counts: DataFrame, groups: Sequence[str], cells: int) -> DataFrame:
+    """``counts`` without the cells of each group that cannot hold its middle ranks."""
+    splits = [i / cells for i in range(1, cells)]
+    cut = counts.groupBy(*groups).agg(F.percentile_approx("_v", splits, 10_000).alias("_s"))
+    cell = F.size(F.filter("_s", lambda split: split < F.col("_v")))
+    placed = counts.join(broadcast_if_small(cut), list(groups)).withColumn("_cell", cell).drop("_s")
+    histogram = placed.groupBy(*groups, "_cell", "_before", "_total").agg(F.sum("_n").alias("_n"))
+    running = F.sum("_n").over(
+        Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = histogram.withColumn("_upto", running + F.col("_before"))
+    start = F.col("_upto") - F.col("_n")
+    middle = (F.col("_upto") >= F.expr("(_total + 1) div 2")) & (start < F.expr("_total div 2 + 1"))
+    target = ranked.where(middle).groupBy(*groups).agg(
+        F.min("_cell").alias("_from"), F.max("_cell").alias("_to"), F.min(start).alias("_before")
+    )
+    kept = placed.drop("_before").join(broadcast_if_small(target), list(groups))
+    return kept.where(F.col("_cell").between(F.col("_from"), F.col("_to"))).drop("_cell", "_from", "_to")
+
+
 def median_split(
     df: DataFrame,
     groups: Sequence[str],
