@@ -134,3 +134,16 @@ def test_stratum_numbers(spark):
     assert {n: stratum_number(n) for n in names} == names
     df = with_stratum_number(spark.createDataFrame([(n,) for n in names], "name string"), "name")
     assert {r.name: r.stratum_number for r in df.collect()} == names
+
+
+def test_two_labels_of_one_key_end_the_job(spark):
+    sample = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    labels = spark.createDataFrame([(1, "correct", "\tseen\n"), (None, "a", "b"), (None, "c", "d")], "k int, label string, comment string")
+    assert {(r.k, r.val1, r.comment) for r in op.attach_labels(sample, labels, ["k"]).collect()} == {(1, "correct", "seen"), (2, None, None), (None, None, None)}
+    twice = labels.union(spark.createDataFrame([(1, "incorrect", "")], labels.schema))
+    with pytest.raises(Exception, match="several labels for one key: 1"):
+        op.attach_labels(sample, twice, ["k"]).collect()
+    expert = spark.createDataFrame([(1, "valid", "\n", "x"), (1, "valid", "y", "x")], "k int, valid_crop string, expert_id_free string, expert_id_checklist string")
+    with pytest.raises(Exception, match="several labels"):
+        op.attach_expert_labels(sample, expert, ["k"]).collect()
+    assert op.attach_expert_labels(sample, expert.limit(1), ["k"]).where("k = 1").first().expert_id_free is None

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import basename, empty_to_null, normal_name
+from ..functions.text import strip
 from ..model import CORRECTNESS_LABELS, CROP_STATES, POLLINATOR_LABELS, REVIEW_LEVELS, SCORE, TRACK_KEYS
 from ..session import BROADCAST_ROWS, has_at_most, hold
 from .tracks import best_per_key
@@ -68,6 +69,18 @@ def label_domain(stratum: int) -> tuple[str, ...]:
     return POLLINATOR_LABELS if stratum in (1, 2) else CORRECTNESS_LABELS
 
 
+def _one_per_key(labels: DataFrame, keys: Sequence[str], given: Sequence[Column]) -> DataFrame:
+    """The given columns of each key's only row. A second row would double the sampled one, so it ends the job."""
+    rows = labels.dropna(subset=list(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(*given)).alias("_given")
+    )
+    names = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    only = F.when(F.col("_rows") == 1, F.col("_given")).otherwise(
+        F.raise_error(F.concat(F.lit("several labels for one key: "), names))
+    )
+    return rows.select(*keys, only.alias("_given")).select(*keys, "_given.*")
+
+
 def attach_labels(
     sample: DataFrame,
     labels: DataFrame,
@@ -77,11 +90,11 @@ def attach_labels(
     comment: str | None = "comment",
 ) -> DataFrame:
     """All sample columns plus the label (under its review name) and the trimmed comment; rows without
-    a label stay, with null. ``labels`` holds at most one row per key."""
-    given = [*keys, F.col(label).alias(column)]
+    a label stay, with null. Two labels of one key end the job."""
+    given = [F.col(label).alias(column)]
     if comment is not None:
-        given.append((F.trim(comment) if comment in labels.columns else F.lit(None).cast("string")).alias("comment"))
-    return sample.join(labels.select(*given), list(keys), "left")
+        given.append((strip(comment) if comment in labels.columns else F.lit(None).cast("string")).alias("comment"))
+    return sample.join(_one_per_key(labels, keys, given), list(keys), "left")
 
 
 def check_domain(df: DataFrame, label: str, domain: Sequence[str]) -> DataFrame:
@@ -106,13 +119,14 @@ def attach_expert_labels(
     free: str = "expert_id_free",
     listed: str = "expert_id_checklist",
 ) -> DataFrame:
-    """Expert columns: crops are valid unless said otherwise, empty identifications are missing."""
-    given = labels.select(
-        *keys,
+    """Expert columns: crops are valid unless said otherwise, empty identifications are missing. Two
+    rows of one key end the job."""
+    columns = [
         F.col(crop).alias("_crop"),
         empty_to_null(free).alias("expert_id_free"),
         empty_to_null(listed).alias("expert_id_checklist"),
-    )
+    ]
+    given = _one_per_key(labels, keys, columns)
     joined = sample.join(given, list(keys), "left")
     return joined.withColumn("valid_crop", F.coalesce("_crop", F.lit(CROP_STATES[0]))).drop("_crop")
 
