@@ -296,7 +296,7 @@ _BEST = (
     f"(partition by {K} order by coalesce(bioclip_score, -1) desc, crop_path) = 1",
 )
 _SHORT = "case bioclip_order when 'Hymenoptera' then 'hym' when 'Lepidoptera' then 'lep' when 'Coleoptera' then 'col' when 'Diptera' then 'dip' end"
-_STORED = {1: "'all'", 2: "'all'", 3: _SHORT, 4: "'all'", 5: _SHORT, 6: _SHORT, 7: _SHORT, 8: "slug"}
+_STORED = {1: "'all'", 2: "'all'", 3: _SHORT, 4: "'all'", 5: _SHORT, 6: _SHORT, 7: _SHORT, 8: "bioclip_species"}
 _GENUS = (
     "genus",
     "select *, bioclip_genus as sampled_genus from tracks where bioclip_family = 'Syrphidae' and bioclip_genus is not null "
@@ -360,7 +360,8 @@ ORACLE |= {
     "config_quality": f"select filename, parse_ok, missing from ({_CONFIGS}) where missing <> ''",
     "attach_labels": f"with r as ({REVIEWED_SQL}) select d.doc_id, d.lang, d.n_chars, r.label as val3_species, "
     "case when r.label is not null then concat('seen in ', d.source) end as comment from documents d join r using (doc_id)",
-    "label_domain_check": f"with r as ({REVIEWED_SQL}) select * from r where label is not null and label not in ('correct', 'incorrect')",
+    "label_domain_check": f"with r as ({REVIEWED_SQL}), s as (select * replace (case when lang = 'de' then upper(label) else label end as label) from r) "
+    "select * from s where label is not null and label not in ('correct', 'incorrect', 'unclear')",
     "predicted_value": DET + "select crop_path, coalesce(bioclip_species, 'N/A') as judged_species, coalesce(bioclip_genus, 'N/A') as judged_genus, coalesce(bioclip_order, 'N/A') as judged_order from det",
     "expert_defaults": _EXPERT,
     "missing_identification": f"select * from ({_EXPERT}) where valid_crop = 'valid' and expert_id_free is null and expert_id_checklist is null",

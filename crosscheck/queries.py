@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trackstrata import functions as fn
 from trackstrata import operators as op
 from trackstrata import plans, sources
-from trackstrata.model import CAMERA_PATHS, CORRECTNESS_LABELS, TRACK_KEYS
+from trackstrata.model import CAMERA_PATHS, TRACK_KEYS
 from trackstrata.plans.strata import label_tracks
 from trackstrata.session import hold
 from trackstrata.sources import index_paths, parse_configs, with_stratum_number
@@ -443,7 +443,8 @@ def attach_labels(spark, sf_dir):
 
 @query
 def label_domain_check(spark, sf_dir):
-    return op.check_domain(reviewed(spark, sf_dir), "label", CORRECTNESS_LABELS[:2])
+    upper = F.when(F.col("lang") == "de", F.upper("label")).otherwise(F.col("label"))  # labels that are not allowed
+    return op.check_domain(reviewed(spark, sf_dir).withColumn("label", upper), "label", op.label_domain(3))
 
 
 @query

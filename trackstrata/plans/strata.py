@@ -247,12 +247,12 @@ FAMILIES: dict[str, Callable[..., DataFrame]] = {
 }
 
 
-def _stratum(family: str, order: str) -> Column:
-    """The part of a family a row is stored under: its order, its species slug, or the whole family."""
+def _stratum(family: str, order: str, species: str) -> Column:
+    """The part of a family a row is stored under: its order, its species (two may share a slug), or the whole family."""
     if family in ("strata3", "strata5", "strata6", "strata7"):
         names = F.create_map(*[F.lit(x) for pair in ORDER_SHORT.items() for x in pair])
         return F.coalesce(names[F.col(order)], F.lower(F.col(order)))
-    return F.col("slug") if family == "strata8" else F.lit("all")
+    return F.col(species) if family == "strata8" else F.lit("all")
 
 
 def sample_families(
@@ -261,6 +261,7 @@ def sample_families(
     seed: int = SEED,
     keys: Sequence[str] = TRACK_KEYS,
     order: str = "bioclip_order",
+    species: str = "bioclip_species",
 ) -> DataFrame:
     """All families as one table with ``family`` and ``stratum`` columns, ready for ``attach_best`` and
     ``write_strata``. ``sizes`` overrides the rows per group of a family."""
@@ -268,5 +269,5 @@ def sample_families(
     for family, draw in FAMILIES.items():
         size = {"n": sizes[family]} if sizes and family in sizes else {}
         drawn = draw(tracks, seed=seed, keys=keys, **size)
-        parts.append(drawn.withColumns({"family": F.lit(family), "stratum": _stratum(family, order)}))
+        parts.append(drawn.withColumns({"family": F.lit(family), "stratum": _stratum(family, order, species)}))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

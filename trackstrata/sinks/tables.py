@@ -39,7 +39,7 @@ def write_strata(
     mode: str = "errorifexists",
     run_id: str | None = None,
 ) -> str:
-    """One folder per value of ``by`` (sample family, stratum, threshold, chunk or species slug).
+    """One folder per value of ``by`` (sample family, stratum, threshold, chunk or species).
 
     Rows are brought together by those columns first, so each folder gets one file instead of one
     per task; samples hold a fixed number of rows per stratum, so no task grows with the input.
