@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackstrata.sources import read_table, spread_small
+from trackstrata.sources import read_table
 
 K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 
@@ -61,8 +61,7 @@ REVIEWED = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    stored = read_table(spark, f"{sf_dir}/{name}.parquet")
-    return spread_small(stored, stored.columns[0]) if name in ("events", "lineitem") else stored
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _view(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -14,7 +14,6 @@ from ..model import DETECTION_DDL, DETECTIONS_GLOB, PLAIN_DETECTION_DDL
 from ..session import broadcast_if_small
 
 SOURCE_FILE = "_source_file"
-SMALL_BYTES = 64 * 1024 * 1024
 
 
 def _struct(schema: str | StructType) -> StructType:
@@ -109,18 +108,6 @@ def read_detections(
     return _csv(spark, wanted, glob).csv(directory).select(*wanted.fieldNames(), *source)
 
 
-def spread_small(df: DataFrame, by: str, most_bytes: int = SMALL_BYTES) -> DataFrame:
-    """Deal the rows of a small stored table over all cores.
-
-    A file of one row group is read by one task, however many cores are idle. Below ``most_bytes`` (well
-    under one ordinary split) one bounded shuffle buys full parallelism; a larger table has splits enough
-    and is returned as it is.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if size <= most_bytes else df
-
-
 def read_table(
     spark: SparkSession, path: str, schema: str | StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
