@@ -132,3 +132,48 @@ def test_a_hot_track_is_reduced_before_the_shuffle(spark):
     plan = tracks._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.rindex("Exchange hashpartitioning")
     assert "HashAggregate" in plan[first_exchange:] and "partial_sum" in plan[first_exchange:]
+
+
+def test_one_pass_gives_votes_tracks_and_counts(spark, rows, tmp_path):
+    data = [det("a", i, "X x", conf=0.9, score=0.9) for i in (0, 20)] + [det("a", 3, "Y y", conf=0.9, score=0.8)]
+    data += [det("b", 0, "X x", conf=0.2), det("c", 0, "Y y", conf=0.9, score=0.1), det("c", 30, "Y y", conf=None), det("d", 0, "X x", cam=None)]
+    data += [det("e", 0, "X x", score=0.1), det("e", 5, "X x", score=0.1)]
+    text = F.when((F.col("track_ID") == "a") & (F.col("bioclip_species") == "Y y"), F.lit("never")).otherwise(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
+    spark.createDataFrame(data, DDL).withColumn("timestamp", text).write.parquet(f"{tmp_path}/detections")
+    df = op.normalize_classes(spark.read.parquet(f"{tmp_path}/detections"))
+    slots = dict(min_conf=">=0.5", min_duration=">1", min_prob="0.2")
+    votes, tracks, steps = plans.process_once(df, f"{tmp_path}/parts", **slots)
+    expected_votes, expected_tracks = plans.process_detections(df, **slots)
+    for got, expected in [(votes, expected_votes), (tracks, expected_tracks), (steps, plans.track_steps(df, **slots))]:
+        assert got.columns == expected.columns and rows(got) == rows(expected)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "/parts" in plan and "/detections" not in plan
+    assert {r.step: r.removed for r in steps.collect()} == {
+        "invalid_timestamps": 1, "detections_removed": 2, "detections_without_track": 1, "tracks_removed": 1, "classifications_removed": 1,
+    }
+    classed = plans.tracks.track_parts(plans.prepare_detections(df).withColumn("_step", F.lit(None).cast("string")), step="_step")
+    assert classed._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_one_pass_over_an_empty_table(spark, tmp_path):
+    votes, tracks, steps = plans.process_once(spark.createDataFrame([], DDL), f"{tmp_path}/parts")
+    assert votes.count() == 0 and tracks.count() == 0 and {r.removed for r in steps.collect()} == {0}
+
+
+def test_times_are_read_as_written_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.createDataFrame([("2024-03-31T02:30:00.5",), ("2024-10-27T02:30:00",), ("x",)], "timestamp string")
+        expected = [datetime(2024, 3, 31, 2, 30, 0, 500000), datetime(2024, 10, 27, 2, 30)]
+        assert [r[0] for r in op.parse_ts(df).collect()] == expected
+        assert [r[0] for r in op.parse_ts(df.where("timestamp <> 'x'"), strict=True).collect()] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_infinite_values_count_as_missing(spark):
+    inf = float("inf")
+    rows = [det("a", 0, "X x", score=0.5, conf=inf), det("a", 1, "X x", score=inf, conf=0.4), det("a", 2, "X x", score=-inf, conf=float("nan"))]
+    got = top1(spark, rows)["a"]
+    assert (got.det_conf_mean, got.top1_prob_mean) == (0.4, 0.5)
+    assert op.best_per_key(spark.createDataFrame(rows, DDL)).first().crop_path == "a-0.jpg"

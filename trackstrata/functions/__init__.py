@@ -15,7 +15,7 @@ from .numeric import (
     whole_seconds,
 )
 from .priority import sample_priority
-from .text import basename, empty_to_null, name_slug, normal_name
+from .text import basename, empty_to_null, name_slug, normal_name, wall_clock
 from .thresholds import in_range, threshold
 
 __all__ = [
@@ -46,4 +46,5 @@ __all__ = [
     "threshold",
     "vote_weight",
     "whole_seconds",
+    "wall_clock",
 ]

@@ -28,8 +28,9 @@ def round_half_up(c: Column | str, digits: int) -> Column:
 
 
 def finite(c: Column | str) -> Column:
-    """The value as double, with NaN read as missing."""
-    return F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
+    """The value as double, with NaN and infinities read as missing."""
+    value = _col(c).cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def clip(c: Column | str, low: float, high: float) -> Column:
@@ -39,7 +40,7 @@ def clip(c: Column | str, low: float, high: float) -> Column:
 
 
 def sum_parts(column: str) -> list[str]:
-    """SQL texts of the integer parts of a numeric column, NaN read as missing. Sum each of them, then
+    """SQL texts of the integer parts of a numeric column, NaN and infinities read as missing. Sum each of them, then
     use :func:`mean_from_parts`. Texts, because one parsed expression costs the driver a fraction of
     the calls that building it piece by piece would."""
     value = present(column)
@@ -49,7 +50,8 @@ def sum_parts(column: str) -> list[str]:
 
 
 def present(column: str) -> str:
-    return f"nanvl(cast(`{column}` as double), cast(null as double))"
+    value = f"cast(`{column}` as double)"
+    return f"if(abs({value}) < double('Infinity'), {value}, null)"
 
 
 def _total(parts: Sequence[str]) -> str:

@@ -15,6 +15,15 @@ def strip(c: Column | str) -> Column:
     return F.btrim(_col(c), F.lit(" \t\n\r\x0b\x0c"))
 
 
+def wall_clock(c: Column | str, fmt: str) -> Column:
+    """Text as ``timestamp_ntz``, null where it does not parse. It is read as UTC whatever the session's zone, so an
+    hour that daylight saving skips stays as written."""
+    zoned = F.try_to_timestamp(F.concat(_col(c), F.lit("Z")), F.lit(fmt + "X"))
+    seconds = (F.unix_micros(zoned) / F.lit(1_000_000)).cast("decimal(18,6)")
+    none = F.lit(0)
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(none, none, none, seconds)
+
+
 def basename(c: Column | str, lower: bool = True) -> Column:
     """The last path component, either slash kind; lower-cased by default."""
     name = F.regexp_extract(_col(c), r"[^/\\]+$", 0)

@@ -26,10 +26,13 @@ from .tracks import (
     first_per_key,
     normalize_classes,
     parse_ts,
+    track_parts,
     track_stats,
     track_top1,
     track_votes,
+    tracks_from_parts,
     vote_cells,
+    votes_from_parts,
 )
 
 __all__ = [
@@ -66,10 +69,13 @@ __all__ = [
     "session_join",
     "stratified_sample",
     "top_values",
+    "track_parts",
     "track_stats",
     "track_top1",
     "track_votes",
+    "tracks_from_parts",
     "validation_metrics",
     "vote_cells",
+    "votes_from_parts",
     "with_thresholds",
 ]

@@ -24,6 +24,7 @@ from ..functions import (
     round_half_up,
     sum_parts,
     vote_weight,
+    wall_clock,
     whole_seconds,
 )
 from ..model import CLASS, CLASS_PROB, PLANT, POLLINATOR_ORDERS, RANKS, SCORE, TIMESTAMP_FORMAT, TRACK_KEYS
@@ -51,7 +52,7 @@ def normalize_classes(
 
 def ts_or_null(column: str, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """Text as ``timestamp_ntz``, null where it does not parse; the fraction is optional."""
-    return F.try_to_timestamp(F.col(column), F.lit(fmt)).cast("timestamp_ntz")
+    return wall_clock(column, fmt)
 
 
 def parse_ts(df: DataFrame, column: str = "timestamp", fmt: str = TIMESTAMP_FORMAT, strict: bool = False) -> DataFrame:
@@ -60,7 +61,7 @@ def parse_ts(df: DataFrame, column: str = "timestamp", fmt: str = TIMESTAMP_FORM
     if df.schema[column].dataType.typeName().startswith("timestamp"):
         return df
     if strict:
-        return df.withColumn(column, F.to_timestamp(F.col(column), fmt).cast("timestamp_ntz"))
+        return df.withColumn(column, F.to_timestamp_ntz(F.col(column), F.lit(fmt)))
     return df.withColumn(column, ts_or_null(column, fmt)).where(F.col(column).isNotNull())
 
 
@@ -136,12 +137,14 @@ def vote_cells(
     ts: str,
     carried: Sequence[str],
     measures: dict[str, str],
+    step: Sequence[str] = (),
 ) -> DataFrame:
-    """Mergeable partial results per (track, class, carried values), clustered by track."""
-    columns = [*keys, name, *carried]
+    """Mergeable partial results per (track, class, carried values), clustered by track. With ``step``, the column that
+    tells which step removed a row, removed rows are kept as cells of their own."""
+    columns = [*step, *keys, name, *carried]
     sums = [c for tag, column in {"prob": prob, **measures}.items() for c in _measure(tag, column)]
     return (
-        keyed(detections, keys)
+        (detections if step else keyed(detections, keys))
         .groupBy(*columns)
         .agg(
             F.count(F.lit(1)).alias("_images"),
@@ -163,11 +166,19 @@ def _earliest(values: Sequence[str], when: str) -> Column:
     return F.min_by(F.struct(*values), F.struct(when, *values))
 
 
-def _votes(cells: DataFrame, keys: Sequence[str], name: str, ranks: list[str], plant: list[str], tags) -> DataFrame:
-    """One row per (track, class), with the track's image count and first plant alongside."""
+def _merged(
+    cells: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    ranks: list[str],
+    plant: list[str],
+    tags: Sequence[str],
+    step: Sequence[str] = (),
+) -> DataFrame:
+    """One row per (track, class), still mergeable."""
     carried = [_earliest(ranks, "_first").alias("_ranks")] if ranks else []
     plants = [F.min(F.struct("_first", *plant)).alias("_plant")] if plant else []
-    merged = cells.groupBy(*keys, name).agg(
+    return cells.groupBy(*step, *keys, name).agg(
         F.sum("_images").alias("top1_imgs"),
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
@@ -175,6 +186,18 @@ def _votes(cells: DataFrame, keys: Sequence[str], name: str, ranks: list[str], p
         *carried,
         *plants,
     )
+
+
+def _carried_by(parts: DataFrame) -> tuple[list[str], list[str]]:
+    """The taxonomy and plant columns that parts hold."""
+    ranks = parts.schema["_ranks"].dataType.fieldNames() if "_ranks" in parts.columns else []
+    plant = parts.schema["_plant"].dataType.fieldNames()[1:] if "_plant" in parts.columns else []
+    return ranks, plant
+
+
+def _votes(parts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The parts with the track's image count and first plant alongside."""
+    ranks, plant = _carried_by(parts)
     track = Window.partitionBy(*keys)
     added = {
         "track_ID_imgs": F.sum("top1_imgs").over(track),
@@ -183,7 +206,7 @@ def _votes(cells: DataFrame, keys: Sequence[str], name: str, ranks: list[str], p
     }
     if plant:
         added[plant[0]] = F.min("_plant").over(track).getField(plant[0])
-    votes = merged.withColumns(added)
+    votes = parts.withColumns(added)
     return votes.withColumn("top1_prob_weighted", vote_weight("top1_prob_mean", "top1_imgs", "track_ID_imgs"))
 
 
@@ -208,8 +231,19 @@ def track_votes(
     first taxonomy of the class in the track."""
     taxonomy, plants = _carried(detections, ranks, plant, name)
     cells = vote_cells(detections, keys, name, prob, ts, [*taxonomy, *plants], {})
-    votes = _votes(cells, keys, name, taxonomy, plants, ["prob"])
-    return votes.select(
+    return votes_from_parts(_merged(cells, keys, name, taxonomy, plants, ["prob"]), keys, name, order, orders)
+
+
+def votes_from_parts(
+    parts: DataFrame,
+    keys: Sequence[str] = TRACK_KEYS,
+    name: str = CLASS,
+    order: str = "bioclip_order",
+    orders: Sequence[str] = POLLINATOR_ORDERS,
+) -> DataFrame:
+    """:func:`track_votes` from :func:`track_parts`."""
+    taxonomy, plants = _carried_by(parts)
+    return _votes(parts, keys, name).select(
         *keys,
         "track_ID_imgs",
         "top1_imgs",
@@ -237,10 +271,44 @@ def track_top1(
     """One row per track: the class with the highest weighted probability (then the highest mean,
     then the smallest name; a missing probability never wins over a present one) and the track's
     statistics. Two shuffles, both of pre-aggregated rows."""
+    parts = track_parts(detections, keys, name, prob, ts, confidence, plant, ranks)
+    return tracks_from_parts(parts, keys, name, order, orders)
+
+
+def track_parts(
+    detections: DataFrame,
+    keys: Sequence[str] = TRACK_KEYS,
+    name: str = CLASS,
+    prob: str = CLASS_PROB,
+    ts: str = "timestamp",
+    confidence: str = "confidence",
+    plant: str = PLANT,
+    ranks: Sequence[str] = RANKS,
+    step: str | None = None,
+) -> DataFrame:
+    """What votes and tracks need of each (track, class): store it, and both come from it without a second pass over
+    the detections. With ``step``, rows that it names are counted per step, without a track."""
     taxonomy, plants = _carried(detections, ranks, plant, name)
     measures = {"conf": confidence, "length": "bbox_length", "width": "bbox_width"}
-    cells = vote_cells(detections, keys, name, prob, ts, [*taxonomy, *plants], measures)
-    votes = _votes(cells, keys, name, taxonomy, plants, ["prob", *measures])
+    steps = [] if step is None else [step]
+    if step is not None:
+        grouped = [*keys, name, *taxonomy, *plants]
+        detections = detections.withColumns({c: F.when(F.col(step).isNull(), F.col(c)) for c in grouped})
+    cells = vote_cells(detections, keys, name, prob, ts, [*taxonomy, *plants], measures, steps)
+    return _merged(cells, keys, name, taxonomy, plants, ["prob", *measures], steps)
+
+
+def tracks_from_parts(
+    parts: DataFrame,
+    keys: Sequence[str] = TRACK_KEYS,
+    name: str = CLASS,
+    order: str = "bioclip_order",
+    orders: Sequence[str] = POLLINATOR_ORDERS,
+) -> DataFrame:
+    """:func:`track_top1` from :func:`track_parts`."""
+    taxonomy, plants = _carried_by(parts)
+    measures = ("conf", "length", "width")
+    votes = _votes(parts, keys, name)
     kept = ["track_ID_imgs", "top1_imgs", name, "top1_prob_mean", "top1_prob_weighted", *plants, *taxonomy]
     rank = F.struct(
         F.coalesce(-F.col("top1_prob_weighted"), F.lit(_FAR)).alias("a"),

@@ -17,7 +17,7 @@ from .strata import (
     strata_genus,
     strata_thresholds,
 )
-from .tracks import aggregate_tracks, prepare_detections, process_detections, track_steps
+from .tracks import aggregate_tracks, prepare_detections, process_detections, process_once, track_steps
 
 __all__ = [
     "FAMILIES",
@@ -26,6 +26,7 @@ __all__ = [
     "merge_detections",
     "prepare_detections",
     "process_detections",
+    "process_once",
     "sample_all",
     "sample_families",
     "sessions_from_configs",

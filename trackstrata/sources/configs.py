@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import json_fields, json_first
+from ..functions import json_fields, json_first, wall_clock
 from ..model import CAMERA_PATHS, CONFIG_NAME, CONFIG_NUMBERS, CONFIG_STAMP, SETTING_PATHS
 
 UNKNOWN = "unknown"
@@ -47,7 +47,7 @@ def parse_configs(
         F.coalesce(camera, F.lit(UNKNOWN)).alias("cam_ID"),
         F.coalesce(setting, F.lit(UNKNOWN)).alias("deployment_setting"),
         *json_fields("value", numbers),
-        F.try_to_timestamp("date_time", F.lit(stamp_format)).cast("timestamp_ntz").alias("start"),
+        wall_clock("date_time", stamp_format).alias("start"),
         parse_ok.alias("parse_ok"),
         missing.alias("missing"),
         "source",
