@@ -77,6 +77,21 @@ def test_quality_js_distance(spark):
     assert got == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2))
 
 
+def _prose(rng, common, letters, words, share=0.29):
+    weights = [1 / (i + 1) for i in range(len(common))]
+    return " ".join(rng.choices(common, weights)[0] if rng.random() < share else "".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(words))
+
+
+def test_quality_drops_texts_without_common_words(spark):
+    rng = random.Random(7)
+    common = {"a": [f"{x}{y}" for x in "bdfg" for y in "aeiouy"], "b": [f"{y}{x}" for x in "klmn" for y in "aeiouy"]}
+    rows = [(i, _prose(rng, common[lang], "aeioubdfgklmn", 120), lang) for i, lang in enumerate(["a", "b"] * 60)]
+    rows += [(1000, _prose(rng, common["a"], "aeioubdfgklmn", 100, share=0), "a"), (1001, _prose(rng, common["a"], "aeioubdfgklmn", 60, share=0), "a")]
+    got = {r.doc_id: r for r in quality_rules.divergence(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not got[1000].kept and not got[1001].kept and not got[1000].base_failed and got[1000].word_distance < 0.5
+    assert all(got[i].kept for i in range(120))
+
+
 def test_quality_awkward(awkward, empty):
     rows = quality_rules.divergence(awkward).where("kept or not kept").collect()
     assert len(rows) == len(AWKWARD) and {r.n_words for r in rows if r.doc_id in (1, 2)} == {0}

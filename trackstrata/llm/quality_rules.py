@@ -3,7 +3,8 @@
 Each text gives a histogram of character classes and one of the corpus' most common short words. Both are compared to language references,
 learned from all documents of a language, by Jensen-Shannon distance. A text is
 dropped if even its nearest reference is too far away, and only if it is long enough for the histogram to
-mean something (``min_chars`` for characters, ``min_words`` for words). Built from DataFrame expressions only.
+mean something (``min_chars`` for characters, ``min_words`` for words). How far words can be at all depends on the
+reference, so their distance counts as a share of the one that a text with no common word has to it. Built from DataFrame expressions only.
 
 Null texts have no words and fail the base rules, as empty ones do. Without any reference the base rules decide
 alone. Documents without language train no reference but are judged. Extra columns pass through.
@@ -11,6 +12,8 @@ alone. Documents without language train no reference but are judged. Extra colum
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +31,10 @@ CLASSES = {
     "letter": "[\\\\x00-\\\\x7F]+",
 }
 MIN_CHARS, MIN_WORDS = 200, 40
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.27, 0.5
+MAX_CHAR_DISTANCE = 0.27
+#: Largest word distance, as a share of the one that a text with no common word has: from 100 words on, and for shorter
+#: texts, where a clean one can have few common words by chance.
+SURE_WORDS, MAX_WORD_SHARE, MAX_SHORT_SHARE = 100, 0.8, 0.99
 COMMON_WORDS, COMMON_LENGTH, MOST_LANGUAGES = 24, 6, 64
 
 
@@ -110,11 +116,18 @@ def js_distance(p: str, q: str) -> str:
     return f"sqrt(greatest(0D, aggregate(zip_with({p}, {q}, (p, q) -> {part}), 0D, (a, x) -> a + x) / 2))"
 
 
+def no_word_distance(common: dict[str, float]) -> float:
+    """Distance of a text with none of the words to a reference with these shares; it depends on their sum only."""
+    s = sum(common.values())
+    rest = 1 - s
+    return math.sqrt(max(0.0, (math.log2(2 / (1 + rest)) + s + (rest * math.log2(2 * rest / (1 + rest)) if rest > 0 else 0.0)) / 2))
+
+
 def _distances(references: dict, text: str) -> str:
     """SQL text: struct of the distances to the nearest reference and whether they are too far."""
     vocabulary = sorted({w for _, words in references.values() for w in words})
     place = {w: i for i, w in enumerate(vocabulary)}
-    chars, words = [], []
+    chars, words, alone = [], [], []
     for classes, common in references.values():
         chars.append(js_distance("p", _numbers(classes)))
         if common:
@@ -122,12 +135,14 @@ def _distances(references: dict, text: str) -> str:
             rest = " + ".join(f"k[{place[w]}]" for w in common)
             shares = [*common.values(), max(0.0, 1 - sum(common.values()))]
             words.append(js_distance(f"array({mine}, 1D - ({rest}) / greatest(n, 1))", _numbers(shares)))
+            alone.append(no_word_distance(common))
     listed = ", ".join(f"'{w}'" for w in vocabulary)
     inside = f"filter(w, x -> x in ({listed}))" if vocabulary else "w"
     counts = f"transform(array({listed}), v -> cast(size(m) - size(array_remove(m, v)) as double))" if vocabulary else "array(0D)"
-    word_distance = f"array_min(array({', '.join(words)}))" if words else "cast(null as double)"
-    far = f"(s >= {MIN_CHARS} and dc > {MAX_CHAR_DISTANCE}D) or (n >= {MIN_WORDS} and coalesce(dw, 0D) > {MAX_WORD_DISTANCE}D)"
-    body = let(word_distance, "dw", f"struct(dc as char_distance, dw as word_distance, {far} as far)")
+    word_distances = f"array({', '.join(words)})" if words else "cast(array() as array<double>)"
+    share = f"array_min(zip_with(dws, {_numbers(alone)}, (d, a) -> d / a))" if words else "cast(null as double)"
+    far = f"(s >= {MIN_CHARS} and dc > {MAX_CHAR_DISTANCE}D) or (n >= {MIN_WORDS} and coalesce({share}, 0D) > if(n >= {SURE_WORDS}, {MAX_WORD_SHARE}D, {MAX_SHORT_SHARE}D))"
+    body = let(word_distances, "dws", f"struct(dc as char_distance, array_min(dws) as word_distance, {far} as far)")
     body = let("transform(c, x -> x / greatest(s, 1D))", "p", let(f"array_min(array({', '.join(chars)}))", "dc", body))
     body = let(class_counts(text), "c", let("aggregate(c, 0D, (a, x) -> a + x)", "s", body))
     body = let("cast(size(w) as double)", "n", let(inside, "m", let(counts, "k", body)))
