@@ -276,6 +276,16 @@ def test_licenses(spark):
     assert licenses.scan_licenses(table.where("false")).count() == 0
 
 
+def test_licenses_from_the_top_and_from_far_above(spark):
+    mit, gpl, bsd = (licenses.TEMPLATES[k] for k in ("MIT", "GPL-3.0", "BSD-3-Clause"))
+    deep = "/".join(f"d{i}" for i in range(50))
+    files = [("LICENSE", mit), ("x.py", "1"), ("src/y.py", "1"), ("./src/y.py", "1"), (f"{deep}/z.py", "1"), (f"/far/{deep}/z.py", "1"), ("/far/LICENSE", gpl), ("/other/z.py", "1"), ("../z.py", "1"), ("/top.py", None), ("//a/LICENSE", bsd), ("//a/b/c", "")]
+    got = {r.path: (r.license, r.inherited_from, r.distance) for r in licenses.scan_licenses(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["x.py"] == ("MIT", "LICENSE", 0) and got["src/y.py"] == got["./src/y.py"] == ("MIT", "LICENSE", 1) and got[f"{deep}/z.py"] == ("MIT", "LICENSE", 50)
+    assert got[f"/far/{deep}/z.py"] == ("GPL-3.0", "/far/LICENSE", 50) and got["//a/b/c"] == ("BSD-3-Clause", "//a/LICENSE", 1)
+    assert got["/other/z.py"] == got["../z.py"] == got["/top.py"] == (None, None, None)
+
+
 def test_licenses_query_is_whole(spark, connection):
     rows = QUERIES["op7_licenses"](spark, SMALL).collect()
     assert len(rows) == connection.sql("select count(*) from documents").fetchall()[0][0]

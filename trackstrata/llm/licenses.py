@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-THRESHOLD, MOST_DEPTH = 0.55, 32
+THRESHOLD = 0.55
 #: Short forms of public licence notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License)",
@@ -70,15 +70,14 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", temp
     notice = F.col("_body")
     rows = files.select(*carried, F.col(path).alias("_path"), notice_of(path, text).alias("_body"))
     digest = F.when(notice != "", F.sha2(notice.cast("binary"), 256))
-    rows = stored(rows.select("*", digest.alias("_notice"), F.regexp_extract("_path", "^(.*)/[^/]*$", 1).alias("_dir")))
+    rooted = F.when(F.col("_path").rlike("^[.]{0,2}/"), F.col("_path")).otherwise(F.concat(F.lit("./"), "_path"))  # the top of relative paths is "."
+    rows = stored(rows.select("*", digest.alias("_notice"), F.regexp_extract(rooted, "^(.*)/[^/]*$", 1).alias("_dir")))
     notices = rows.where(F.col("_notice").isNotNull()).groupBy("_notice").agg(F.any_value("_body").alias("body"), F.count("*").alias("files"))
     found = stored(_scores(stored(notices), templates, threshold))
     licence_file = F.regexp_extract("_path", "[^/]*$", 0).rlike(LICENCE_FILE)
     in_dir = rows.where(licence_file).join(found, "_notice").groupBy("_dir").agg(F.min(F.struct((-F.col("own_score")).alias("s"), F.col("_path").alias("p"), F.col("own_license").alias("l"))).alias("d"))
     directories = rows.where(F.col("_path").isNotNull()).select("_dir").distinct()
-    up = F.expr(
-        f"transform(sequence(0, least(size(split(_dir, '/')), {MOST_DEPTH}) - 1), u -> struct(u as distance, array_join(slice(split(_dir, '/'), 1, size(split(_dir, '/')) - u), '/') as above))"
-    )
+    up = F.expr("transform(sequence(0, size(split(_dir, '/')) - 1), u -> struct(u as distance, array_join(slice(split(_dir, '/'), 1, size(split(_dir, '/')) - u), '/') as above))")
     ancestors = directories.select("_dir", F.explode(up).alias("a")).select("_dir", "a.distance", "a.above")
     nearest = ancestors.join(in_dir.withColumnRenamed("_dir", "above"), "above").groupBy("_dir").agg(F.min(F.struct("distance", "d")).alias("n"))
     own = F.col("own_license").isNotNull()
