@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from importlib.metadata import files
 
 import numpy as np
 import pytest
@@ -286,6 +287,27 @@ def test_licenses_from_the_top_and_from_far_above(spark):
     assert got["/other/z.py"] == got["../z.py"] == got["/top.py"] == (None, None, None)
 
 
+def test_licenses_of_whole_texts_and_headers(spark):
+    """Texts of installed packages, with their own names and line breaks, and notices as they stand in source files."""
+    names = "psutil:BSD-3-Clause idna:BSD-3-Clause attrs:MIT pytest:MIT pluggy:MIT tiktoken:MIT charset_normalizer:MIT requests:Apache-2.0 sortedcontainers:Apache-2.0 pygments:BSD-2-Clause"
+    rows, expected = [], {}
+    for package, name in (n.split(":") for n in names.split()):
+        for f in files(package) or ():
+            if f.name.startswith("LICENSE") and f.locate().is_file():
+                rows.append((f"{package}/{f.name}", f.locate().read_text(encoding="utf-8")))
+                expected[f"{package}/{f.name}"] = name
+    header = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version {0} of the License, or\n# any later version.\nx = 1\n"
+    for path, text, name in (
+        ("a/mit.py", "# SPDX-License-Identifier: MIT\nx = 1", "MIT"), ("b/mpl.rs", "// SPDX-License-Identifier: MPL-2.0", None), ("c/g.c", "/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"),
+        ("d/sa.txt", "SPDX-License-Identifier: CC-BY-SA-4.0", None), ("e/g.py", header.format(3), "GPL-3.0"), ("f/g.py", header.format(2), "GPL-2.0"), ("g/p.py", "# the software prints all rights reserved words", None),
+    ):
+        rows.append((path, text))
+        expected[path] = name
+    assert len(rows) >= 12
+    got = {r.path: r.own_license for r in licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == expected
+
+
 def test_licenses_query_is_whole(spark, connection):
     rows = QUERIES["op7_licenses"](spark, SMALL).collect()
     assert len(rows) == connection.sql("select count(*) from documents").fetchall()[0][0]
