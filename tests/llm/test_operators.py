@@ -93,6 +93,15 @@ def test_quality_drops_texts_without_common_words(spark):
     assert all(got[i].kept for i in range(120))
 
 
+def test_quality_references_of_every_language(spark):
+    rng = random.Random(3)
+    common = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(24)] for _ in range(70)]
+    rows = [(i, _prose(rng, common[i % 70], "abcdefghijklmnopqrstuvwxyz", 120, share=0.6), f"l{i % 70:02}") for i in range(280)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert sorted(quality_rules.language_references(docs)) == sorted({lang for _, _, lang in rows})
+    assert all(r.kept for r in quality_rules.divergence(docs).collect())
+
+
 def test_quality_awkward(awkward, empty):
     rows = quality_rules.divergence(awkward).where("kept or not kept").collect()
     assert len(rows) == len(AWKWARD) and {r.n_words for r in rows if r.doc_id in (1, 2)} == {0}
@@ -133,6 +142,32 @@ def test_language_held_out_accuracy(spark, connection):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_language_learns_every_language_and_short_texts(spark):
+    rng = random.Random(11)
+    pairs = ["".join(p) for p in rng.sample([(a, b) for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"], 280)]
+    words = {f"l{i:02}": pairs[4 * i : 4 * i + 4] for i in range(70)}
+    rows = [(i, " ".join(rng.choices(words[lang], k=20)), lang) for i, lang in enumerate([*words] * 12)]
+    assert all(len(text) < language_id.STEPS for _, text, _ in rows)
+    docs = spark.createDataFrame([*rows, (None, "", "l00"), (-1, "ab", None)], "doc_id bigint, text string, lang string")
+    model = language_id.train_languages(docs, usable=F.lit(True), epochs=40)
+    assert set(model.languages) == set(words)
+    right = [r.lang_pred == r.lang for r in language_id.predict_languages(docs, model).where("lang is not null and text != ''").collect()]
+    assert sum(right) > 0.9 * len(right) == 0.9 * 840
+
+
+def test_language_gradient_of_shorter_sequences():
+    """A padded batch has the gradients of its sequences on their own."""
+    rng = np.random.default_rng(2)
+    H, k = language_id.HIDDEN, 3
+    shapes = {"ef": (256, 3 * H), "eb": (256, 3 * H), "rf": (H, 3 * H), "rb": (H, 3 * H), "o": (2 * H, k), "b": (k,)}
+    p = {n: rng.normal(0, 0.5, s) for n, s in shapes.items()}
+    x, y, w, size = rng.integers(0, 4, (7, 4)), np.array([0, 1, 2, 1]), np.full(4, 0.25), np.array([7, 3, 1, 5])
+    together = language_id._through_time(p, x, y, w, size)
+    alone = [language_id._through_time(p, x[:n, i : i + 1], y[i : i + 1], w[i : i + 1]) for i, n in enumerate(size)]
+    for name, g in together.items():
+        assert g == pytest.approx(sum(a[name] for a in alone), abs=1e-5)
+
+
 def test_language_gradient():
     rng = np.random.default_rng(1)
     H, k = language_id.HIDDEN, 3

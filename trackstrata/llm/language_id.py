@@ -12,6 +12,7 @@ Extra columns pass through; columns named like an output are replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, passed, row_blocks, stored, utf8
+from .common import as_text, broadcast_under, passed, row_blocks, stored, utf8
 
 HIDDEN, STEPS = 8, 96
 SALTS = 16
@@ -58,14 +59,14 @@ class BiGru:
     def _position_sums(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Sum of label probabilities over the positions of each sequence; sequences come longest first.
         Arrays are [unit, sequence], so every operation runs along many sequences."""
-        steps, n, k = int(size[0]), len(start), len(self.languages)
+        steps, n, k, H = int(size[0]), len(start), len(self.languages), self.recur[0].shape[0]
         x = np.ascontiguousarray(data[start[:, None] + np.arange(steps)].T)
         live = np.searchsorted(-size, -np.arange(steps), side="left")  # sequences longer than t
         logits = np.empty((steps, k, n), np.float32)
-        half = np.ascontiguousarray(self.out.reshape(2, HIDDEN, k).transpose(0, 2, 1))
+        half = np.ascontiguousarray(self.out.reshape(2, H, k).transpose(0, 2, 1))
         for way in (0, 1):
             embed, recur = np.ascontiguousarray(self.embed[way].T), np.ascontiguousarray(self.recur[way].T)
-            h = np.zeros((HIDDEN, n), np.float32)
+            h = np.zeros((H, n), np.float32)
             for t in range(steps) if way == 0 else range(steps - 1, -1, -1):
                 m = live[t]  # a shorter sequence starts backward from its own last byte
                 now = _cell(embed.take(x[t, :m], axis=1), h[:, :m], recur)
@@ -87,43 +88,48 @@ class BiGru:
 
 def _cell(gates: np.ndarray, h: np.ndarray, recur: np.ndarray) -> np.ndarray:
     """One GRU step; ``gates`` is overwritten. Both gates are ``(1 + tanh) / 2`` of half the sum (the halves are in the weights)."""
+    H = recur.shape[1]
     back = recur @ h
-    two = gates[: 2 * HIDDEN]
-    two += back[: 2 * HIDDEN]
+    two = gates[: 2 * H]
+    two += back[: 2 * H]
     np.tanh(two, out=two)
     two *= 0.5
     two += 0.5
-    new = back[2 * HIDDEN :]
-    new *= two[HIDDEN:]
-    new += gates[2 * HIDDEN :]
+    new = back[2 * H :]
+    new *= two[H:]
+    new += gates[2 * H :]
     np.tanh(new, out=new)
     mixed = h - new
-    mixed *= two[:HIDDEN]
+    mixed *= two[:H]
     mixed += new
     return mixed
 
 
 def fit(texts: list[bytes], langs: list[str], epochs: int = 12, batch: int = 128, rate: float = 0.02, train_sequences: int = 4, seed: int = 5) -> BiGru:
+    """Texts shorter than ``STEPS`` bytes are learned from as one shorter sequence."""
     rng = np.random.default_rng(seed)
     languages = tuple(sorted(set(langs)))
-    k = len(languages)
+    k, number = len(languages), {lang: i for i, lang in enumerate(languages)}
+    hidden = max(HIDDEN, math.ceil(math.sqrt(8 * k)))
     p = {}
     for way in "fb":
-        p["e" + way] = rng.normal(0, 0.3, (256, 3 * HIDDEN)).astype(np.float32)
-        p["r" + way] = rng.normal(0, 0.3, (HIDDEN, 3 * HIDDEN)).astype(np.float32)
-    p["o"] = rng.normal(0, 0.3, (2 * HIDDEN, k)).astype(np.float32)
+        p["e" + way] = rng.normal(0, 0.3, (256, 3 * hidden)).astype(np.float32)
+        p["r" + way] = rng.normal(0, 0.3, (hidden, 3 * hidden)).astype(np.float32)
+    p["o"] = rng.normal(0, 0.3, (2 * hidden, k)).astype(np.float32)
     p["b"] = np.zeros(k, np.float32)
     if k > 1:
-        rows, labels = [], []
+        rows, labels, sizes = [], [], []
         for text, lang in zip(texts, langs):
             raw = np.frombuffer(text, np.uint8)
-            starts = np.arange(0, len(raw) - STEPS + 1, STEPS)
+            starts = np.arange(0, max(1, len(raw) - STEPS + 1), STEPS) if len(raw) else ()
             if len(starts) > train_sequences:
                 starts = rng.choice(starts, train_sequences, replace=False)
             for s in starts:
-                rows.append(raw[s : s + STEPS])
-                labels.append(languages.index(lang))
-        x, y = np.array(rows, np.uint8).reshape(-1, STEPS), np.array(labels, np.int64)
+                piece = raw[s : s + STEPS]
+                rows.append(np.pad(piece, (0, STEPS - len(piece))))
+                labels.append(number[lang])
+                sizes.append(len(piece))
+        x, y, size = np.array(rows, np.uint8).reshape(-1, STEPS), np.array(labels, np.int64), np.array(sizes, np.int64)
         weight = (1 / np.maximum(1, np.bincount(y, minlength=k)))[y] if len(y) else np.zeros(0)
         moments = {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()}
         step = 0
@@ -132,7 +138,7 @@ def fit(texts: list[bytes], langs: list[str], epochs: int = 12, batch: int = 128
             for at in range(0, len(order), batch):
                 pick = order[at : at + batch]
                 w = weight[pick] / weight[pick].sum()
-                grads = _through_time(p, x[pick].T, y[pick], w.astype(np.float32))
+                grads = _through_time(p, x[pick].T, y[pick], w.astype(np.float32), size[pick])
                 norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
                 step += 1
                 for name, g in grads.items():
@@ -146,10 +152,12 @@ def fit(texts: list[bytes], langs: list[str], epochs: int = 12, batch: int = 128
     return BiGru(languages, (p["ef"], p["eb"]), (p["rf"], p["rb"]), p["o"], p["b"])
 
 
-def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
-    """Gradients of the mean cross-entropy of all positions. ``x`` is [steps, sequences]."""
+def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray, size: np.ndarray | None = None) -> dict:
+    """Gradients of the mean cross-entropy of all positions. ``x`` is [steps, sequences]; of each sequence the first ``size`` steps count."""
     steps, n = x.shape
-    H = HIDDEN
+    H = p["rf"].shape[0]
+    size = np.full(n, steps) if size is None else size
+    live = (np.arange(steps)[:, None] < size).astype(np.float32)[:, :, None]
     trace, states = {}, {}
     for way in "fb":
         h = np.zeros((n, H), np.float32)
@@ -161,7 +169,7 @@ def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) ->
             z, r = gate[:, :H], gate[:, H:]
             new = np.tanh(g[:, 2 * H :] + r * back[:, 2 * H :])
             kept.append((t, h, z, r, new, back[:, 2 * H :]))
-            h = new + z * (h - new)
+            h = (new + z * (h - new)) * live[t]  # a shorter sequence starts backward from its own last byte
             out[t] = h
         trace[way], states[way] = kept, out
     both = np.concatenate([states["f"], states["b"]], axis=2)
@@ -170,7 +178,7 @@ def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) ->
     prob = np.exp(logits)
     prob /= prob.sum(axis=2, keepdims=True)
     prob[:, np.arange(n), y] -= 1
-    prob *= (weight / steps)[None, :, None]
+    prob *= (weight / size)[None, :, None] * live
     grads = {"o": np.einsum("tnh,tnk->hk", both, prob), "b": prob.sum(axis=(0, 1))}
     to_both = prob @ p["o"].T
     for i, way in enumerate("fb"):
@@ -178,7 +186,7 @@ def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) ->
         dh = np.zeros((n, H), np.float32)
         gates = np.empty((n, 3 * H), np.float32)
         for t, before, z, r, new, back in reversed(trace[way]):
-            dh = dh + to_both[t, :, i * H : (i + 1) * H]
+            dh = (dh + to_both[t, :, i * H : (i + 1) * H]) * live[t]
             dnew = dh * (1 - z) * (1 - new * new)
             gates[:, :H] = dh * (before - new) * 2 * z * (1 - z)
             gates[:, H : 2 * H] = dnew * back * 2 * r * (1 - r)
@@ -192,21 +200,41 @@ def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) ->
     return grads
 
 
-def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, most_languages: int = 64, **options) -> BiGru:
-    """Fit on at most ``per_lang`` documents of each of the ``most_languages`` most frequent languages, the
-    first by hash of their id among the ``usable`` rows. Only those rows' texts and languages are read."""
-    rows = docs.where(usable & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), "lang")
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).select("lang")
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text ``most`` whole sequences, chosen by its hash; a shorter text is one."""
+    for batch in batches:
+        data, offsets = utf8(batch, "text")
+        most = batch.column(batch.schema.get_field_index("most")).to_numpy()
+        hashes = batch.column(batch.schema.get_field_index("_h")).to_numpy()
+        row, piece = [], []
+        for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            starts = np.arange(0, max(1, b - a - STEPS + 1), STEPS)
+            if len(starts) > most[i]:
+                starts = np.sort(np.random.default_rng(int(hashes[i]) & (2**63 - 1)).choice(starts, int(most[i]), replace=False))
+            for s in starts.tolist():
+                row.append(i)
+                piece.append(data[a + s : min(b, a + s + STEPS)].tobytes())
+        taken = batch.select(["doc_id", "lang", "_h"]).take(pa.array(row, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(piece, pa.binary())], ["doc_id", "lang", "_h", "piece"])
+
+
+def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, train_sequences: int = 4, **options) -> BiGru:
+    """Fit on at most ``per_lang`` documents of every language, the first by hash of their id among the ``usable``
+    rows. Only those rows' texts and languages are read, and ``train_sequences`` sequences of each reach the driver."""
+    rows = docs.where(usable & F.col("lang").isNotNull()).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     # ids only are ranked, in two steps so that no task meets a whole language; the chosen rows' texts follow by id
-    ranked = rows.where(F.octet_length("text") >= STEPS).join(F.broadcast(frequent), "lang").withColumn("_h", F.xxhash64("text"))
-    order = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"), F.col("_h"))
+    ranked = rows.where(F.octet_length("text") > 0).withColumn("_h", F.xxhash64("text"))
+    order = (F.xxhash64("doc_id"), F.col("doc_id"), F.col("_h"))
     keys = ranked.select("doc_id", "lang", "_h").distinct().withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)))
     for group in (["lang", "_salt"], ["lang"]):
         keys = keys.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= per_lang)
-    chosen = stored(keys.select("doc_id", "lang", "_h"))
-    sample = ranked.join(F.broadcast(chosen), ["doc_id", "lang", "_h"]).groupBy("doc_id", "lang", "_h").agg(F.min("text").alias("text")).collect()
-    sample.sort(key=lambda r: (r.lang, str(r.doc_id), r._h))
-    return fit([r.text.encode() for r in sample], [r.lang for r in sample], **options)
+    chosen = broadcast_under(stored(keys.select("doc_id", "lang", "_h")), 100_000)
+    # a null id is in the table only once
+    same = ranked["doc_id"].eqNullSafe(chosen["doc_id"]) & (ranked["lang"] == chosen["lang"]) & (ranked["_h"] == chosen["_h"])
+    texts = ranked.join(chosen, same, "left_semi").groupBy("doc_id", "lang", "_h").agg(F.min("text").alias("text")).withColumn("most", F.lit(train_sequences))
+    sample = texts.mapInArrow(_pieces, "doc_id string, lang string, _h bigint, piece binary").collect()
+    sample.sort(key=lambda r: (r.lang, str(r.doc_id), r._h, bytes(r.piece)))
+    return fit([bytes(r.piece) for r in sample], [r.lang for r in sample], **options)
 
 
 def predict_languages(docs: DataFrame, model: BiGru, text: str = "text") -> DataFrame:

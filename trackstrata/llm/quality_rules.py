@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import let, stored
@@ -35,7 +35,7 @@ MAX_CHAR_DISTANCE = 0.27
 #: Largest word distance, as a share of the one that a text with no common word has: from 100 words on, and for shorter
 #: texts, where a clean one can have few common words by chance.
 SURE_WORDS, MAX_WORD_SHARE, MAX_SHORT_SHARE = 100, 0.8, 0.99
-COMMON_WORDS, COMMON_LENGTH, MOST_LANGUAGES = 24, 6, 64
+COMMON_WORDS, COMMON_LENGTH = 24, 6
 
 
 def repeated_words(words: str) -> str:
@@ -81,15 +81,14 @@ def plain_words(text: str = "text") -> str:
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[list[float], dict[str, float]]]:
     """Per language: shares of the character classes, and shares of its ``COMMON_WORDS`` most frequent words of at
-    most ``COMMON_LENGTH`` letters, over all documents of the language. The ``MOST_LANGUAGES`` languages with the most
-    documents; only these few rows reach the driver."""
+    most ``COMMON_LENGTH`` letters, over all documents of the language. Every language of the table has one; a row and ``COMMON_WORDS`` words of each reach the driver."""
     known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text)
     width = len(CLASSES) + 1
     by_class = known.select("lang", F.expr(class_counts(text)).alias("c")).groupBy("lang").agg(F.count("*").alias("docs"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(width)])
-    classes = by_class.orderBy(F.desc("docs"), "lang").limit(MOST_LANGUAGES).collect()
+    classes = by_class.orderBy(F.desc("docs"), "lang").collect()
     if not classes:
         return {}
-    words = known.where(F.col("lang").isin([r.lang for r in classes])).select("lang", F.explode(F.expr(plain_words(text))).alias("word"))
+    words = known.select("lang", F.explode(F.expr(plain_words(text))).alias("word"))
     short = F.when(F.char_length("word") <= COMMON_LENGTH, F.col("word"))  # longer words count in the total only
     counts = stored(words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n")))
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
@@ -106,10 +105,6 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     return out
 
 
-def _numbers(values: list[float]) -> str:
-    return "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
-
-
 def js_distance(p: str, q: str) -> str:
     """SQL text: Jensen-Shannon distance (base 2) of two arrays of shares."""
     part = "if(p > 0, p * log2(2 * p / (p + q)), 0D) + if(q > 0, q * log2(2 * q / (p + q)), 0D)"
@@ -123,27 +118,32 @@ def no_word_distance(common: dict[str, float]) -> float:
     return math.sqrt(max(0.0, (math.log2(2 / (1 + rest)) + s + (rest * math.log2(2 * rest / (1 + rest)) if rest > 0 else 0.0)) / 2))
 
 
-def _distances(references: dict, text: str) -> str:
-    """SQL text: struct of the distances to the nearest reference and whether they are too far."""
+REFERENCES = "array<struct<classes:array<double>,places:array<int>,shares:array<double>,alone:double>>"
+
+
+def reference_table(spark: SparkSession, references: dict) -> tuple[DataFrame, list[str]]:
+    """One row with all references in the array ``_refs``, and the vocabulary that their ``places`` count in."""
     vocabulary = sorted({w for _, words in references.values() for w in words})
     place = {w: i for i, w in enumerate(vocabulary)}
-    chars, words, alone = [], [], []
+    rows = []
     for classes, common in references.values():
-        chars.append(js_distance("p", _numbers(classes)))
-        if common:
-            mine = ", ".join(f"k[{place[w]}] / greatest(n, 1)" for w in common)
-            rest = " + ".join(f"k[{place[w]}]" for w in common)
-            shares = [*common.values(), max(0.0, 1 - sum(common.values()))]
-            words.append(js_distance(f"array({mine}, 1D - ({rest}) / greatest(n, 1))", _numbers(shares)))
-            alone.append(no_word_distance(common))
+        shares = [*common.values(), max(0.0, 1 - sum(common.values()))]
+        rows.append((classes, [place[w] for w in common], shares, no_word_distance(common) if common else None))
+    return spark.createDataFrame([(rows,)], f"_refs {REFERENCES}"), vocabulary
+
+
+def _distances(vocabulary: list[str], text: str) -> str:
+    """SQL text: struct of the distances to the nearest reference in ``_refs`` and whether they are too far."""
     listed = ", ".join(f"'{w}'" for w in vocabulary)
     inside = f"filter(w, x -> x in ({listed}))" if vocabulary else "w"
     counts = f"transform(array({listed}), v -> cast(size(m) - size(array_remove(m, v)) as double))" if vocabulary else "array(0D)"
-    word_distances = f"array({', '.join(words)})" if words else "cast(array() as array<double>)"
-    share = f"array_min(zip_with(dws, {_numbers(alone)}, (d, a) -> d / a))" if words else "cast(null as double)"
+    nearest = f"array_min(transform(_refs, r -> {js_distance('p', 'r.classes')}))"
+    mine = "concat(transform(r.places, i -> k[i] / greatest(n, 1)), array(1D - aggregate(r.places, 0D, (a, i) -> a + k[i]) / greatest(n, 1)))"
+    of_words = f"transform(filter(_refs, r -> r.alone is not null), r -> struct({js_distance(mine, 'r.shares')} as d, r.alone as alone))"
+    share = "array_min(transform(dws, x -> x.d / x.alone))"
     far = f"(s >= {MIN_CHARS} and dc > {MAX_CHAR_DISTANCE}D) or (n >= {MIN_WORDS} and coalesce({share}, 0D) > if(n >= {SURE_WORDS}, {MAX_WORD_SHARE}D, {MAX_SHORT_SHARE}D))"
-    body = let(word_distances, "dws", f"struct(dc as char_distance, array_min(dws) as word_distance, {far} as far)")
-    body = let("transform(c, x -> x / greatest(s, 1D))", "p", let(f"array_min(array({', '.join(chars)}))", "dc", body))
+    body = let(of_words, "dws", f"struct(dc as char_distance, array_min(dws.d) as word_distance, {far} as far)")
+    body = let("transform(c, x -> x / greatest(s, 1D))", "p", let(nearest, "dc", body))
     body = let(class_counts(text), "c", let("aggregate(c, 0D, (a, x) -> a + x)", "s", body))
     body = let("cast(size(w) as double)", "n", let(inside, "m", let(counts, "k", body)))
     return let(plain_words(text), "w", body)
@@ -155,6 +155,10 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     plain = docs.drop(*[c for c in docs.columns if c.lower() in made])
     references = language_references(plain, text, lang)
     counted = with_counts(plain, text)
-    none = "struct(cast(null as double) as char_distance, cast(null as double) as word_distance, false as far)"
-    judged = counted.withColumn("_d", F.expr(_distances(references, text) if references else none))
+    if references:
+        table, vocabulary = reference_table(docs.sparkSession, references)
+        judged = counted.crossJoin(F.broadcast(table)).withColumn("_d", F.expr(_distances(vocabulary, text))).drop("_refs")
+    else:
+        none = "struct(cast(null as double) as char_distance, cast(null as double) as word_distance, false as far)"
+        judged = counted.withColumn("_d", F.expr(none))
     return judged.select("*", "_d.char_distance", "_d.word_distance", F.expr("not base_failed and not _d.far").alias("kept")).drop("_d")
