@@ -368,6 +368,16 @@ def test_classifier_reads_every_byte():
     assert all(c != whole for c in changed)
 
 
+def test_classifier_scores_do_not_depend_on_neighbours():
+    net = classifier.fit([b"a" * 300, b"#" * 300], [1, 0], epochs=2)
+    texts = [random.Random(n).randbytes(n) for n in (0, 1, classifier.SEGMENT, classifier.CHUNK, classifier.CHUNK - 2, 5 * classifier.CHUNK)]
+    alone = [net.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    many = [t for t in texts for _ in range(2)]
+    for order in (many, many[::-1], [x for t in texts for x in (t, b"#" * 64)]):
+        got = net.scores(np.frombuffer(b"".join(order), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in order])]))
+        assert all(s == pytest.approx(alone[texts.index(t)], abs=1e-7) for t, s in zip(order, got) if t in texts)
+
+
 def test_classifier_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (6, 0, 0), (None, 1, 0), (2, None, 0)], "doc_id bigint, quality int, toxic int")
     model = classifier.train_quality(awkward, labels, usable=F.lit(True))

@@ -41,7 +41,7 @@ class ConvNet:
         """One probability per document of ``data[offsets[i]:offsets[i + 1]]``."""
         lengths = np.diff(offsets)
         segments = np.maximum(1, -(-lengths // SEGMENT))
-        first = np.concatenate([[0], np.cumsum(segments)])
+        first = np.concatenate([[0], np.cumsum(segments + 1)])  # an empty segment after each, so that no window reads the next document
         padded = np.zeros(first[-1] * SEGMENT + WIDTH, np.uint8)
         for i, n in enumerate(lengths):
             at = first[i] * SEGMENT
@@ -51,7 +51,7 @@ class ConvNet:
         document = np.repeat(np.arange(len(lengths)), chunks)
         inside = np.arange(len(document)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
         start = first[document] + inside * STEP_SEGMENTS
-        end = np.minimum(start + CHUNK_SEGMENTS, first[document + 1])
+        end = np.minimum(start + CHUNK_SEGMENTS, first[document + 1] - 1)
         pooled = np.concatenate([pooled, np.zeros((1, FILTERS), np.float32)])
         chunk_max = np.maximum.reduceat(pooled, np.column_stack([start, end]).ravel(), axis=0)[::2]
         begins = np.cumsum(chunks) - chunks
