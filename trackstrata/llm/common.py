@@ -56,6 +56,23 @@ def passed(df: DataFrame, added: str) -> T.StructType:
     return T.StructType([*[f for f in df.schema if f.name.lower() not in names], *extra])
 
 
+def packed(df: DataFrame, outputs: list[str], keep: list[str] | None = None) -> Column:
+    """The caller's columns ``keep`` (all by default) as one struct, without those named like an output, so that they meet no
+    internal name on the way. Unpack with ``unpacked``."""
+    taken = {o.lower() for o in outputs}
+    names = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+    return F.struct(*[F.col(_quoted(c)) for c in names]) if names else F.struct(F.lit(None).cast("boolean").alias("_none"))
+
+
+def unpacked(df: DataFrame, struct: str) -> list[Column]:
+    """The columns that ``packed`` put into ``struct``."""
+    return [F.col(struct).getField(f.name).alias(f.name) for f in df.schema[struct].dataType if f.name != "_none"]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def utf8(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and its row offsets, without copying; null rows are empty."""
     values = batch.column(batch.schema.get_field_index(column))

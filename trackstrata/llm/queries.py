@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, language_id, licenses, near_dup, packing, pii, quality_rules, url_filter, warc
+from . import classifier, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, url_filter, warc
 from .common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,11 @@ def op10_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
+@query
+def op13_main_text(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 ORACLE: dict[str, str] = {
     "op2_url_filter": r"""
 with parts as (
