@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, url_filter, warc
+from . import classifier, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, ranked_search, url_filter, warc
 from .common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,11 @@ def op10_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
+@query
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op13_main_text(spark, sf_dir):
     return html_text.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
@@ -185,5 +190,28 @@ select page_id, cast(size as bigint) as payload_bytes, digest as payload_digest,
        case when size >= 100 and page_id <> page_first then 'revisit' else 'response' end as record_type,
        case when size >= 100 and page_id <> page_first then page_first end as refers_to
 from digested join firsts using (digest)
+""",
+    "op11_ranked_search": r"""
+with words as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), corpus as (select count(*) filter (len(w) > 0) as n, cast(sum(len(w)) as bigint) as l from words),
+item_terms as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), counted as (
+  select r, doc_id, size, term, count(*) as tf from (select r, doc_id, len(w) as size, unnest(w) as term from words)
+  where term in (select term from item_terms) group by r, doc_id, size, term
+), weights as (
+  select term, cast(floor(1000 * ln((2 * n + 2)::double / (2 * count(*) + 1))) as bigint) as weight from counted, corpus group by term, n
+), worth as (
+  select r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * size * n) // l)))) as worth
+  from counted join weights using (term), corpus
+), scored as (
+  select item_id, r, doc_id, cast(sum(worth) as bigint) as score from item_terms join worth using (term) group by item_id, r, doc_id
+), ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 50
 """,
 }
