@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, ranked_search, url_filter, warc
+from . import classifier, conversations, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, ranked_search, url_filter, warc
 from .common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +125,11 @@ def op11_ranked_search(spark, sf_dir):
     return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")), times="times")
+
+
 @query
 def op13_main_text(spark, sf_dir):
     return html_text.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
