@@ -1,11 +1,12 @@
 """Main text of web pages by removing the templates of their site.
 
-Every page is parsed once into its text runs and its element subtrees. A subtree is hashed from its tags and text
-(attributes vary within a template), and Spark counts, per host, the pages that hold it. Subtrees that recur on
+Every page is parsed into its text runs and its element subtrees. A subtree is hashed from its tags and text
+(attributes vary within a template), and Spark counts, per host, the pages that hold it. The parse is done again when the cuts
+are made, as moving the pages' hashes and not their texts costs less disk. Subtrees that recur on
 ``min_pages`` pages of a host are its template, and are cut from all its pages. Prose needs more, as passages and whole
 articles are also repeated: a paragraph or heading, or anything inside the article, is template only if it stands on
-``article_pages`` pages and on ``article_share`` of the host's pages, and only as long as all such cuts leave at least half of
-the page's article; a subtree with more than half of a page's text never is one.
+``article_pages`` pages that are not all copies and on ``article_share`` of the host's pages, and only as long as all such cuts
+leave at least half of the page's article; a subtree with more than half of a page's text never is one.
 
 What a site shows on too few pages to be counted is told by its markup: the article is what the page's ``article`` elements
 hold (else ``main``, else the body), without the elements and class words listed below. Entities are decoded, white
@@ -25,7 +26,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,7 +106,7 @@ class _Open:
 
 @dataclass(slots=True)
 class Page:
-    """``runs`` of article text (a run that starts a block begins with a line break), and the subtrees with text:
+    """``runs`` of article text (a run that starts a block begins with a line break), and the subtrees that hold some of it:
     ``hashes`` and their runs [``first``, ``last``); ``strict`` ones are prose or part of the article."""
 
     runs: list[str] = field(default_factory=list)
@@ -230,7 +231,7 @@ def parse(text: str) -> Page:
             after_break = True  # what is left out never glues its neighbours together
         number.append(len(page.runs))
     for digest, first, last, length, prose in subtrees:
-        if 2 * length <= total:
+        if 2 * length <= total and number[first] < number[last]:
             page.hashes.append(digest)
             page.first.append(number[first])
             page.last.append(number[last])
@@ -266,40 +267,40 @@ def assembled(runs: list[str], cuts: list[tuple[int, int, bool]]) -> tuple[str,
     return " ".join("".join(pieces).split()), taken
 
 
-_PARSED = "runs array<string>, keys array<bigint>, first array<int>, last array<int>, strict array<boolean>"
+_SUBTREES = "keys array<bigint>, first array<int>, last array<int>, strict array<boolean>, story bigint"
+#: what a page's cuts depend on: its site and its html, by 96 bits of hashes
+_PAGE = ["site", "long_hash", "short_hash"]
 
 
-def parsed_pages(pages: DataFrame, outputs: list[str], keep: list[str] | None, html: str, url: str) -> DataFrame:
-    """Stored: ``kept`` (the caller's columns), ``site``, ``row``, and the runs and subtrees of each page. A key stands for a
-    subtree of a site; its lowest bit tells whether it is strict."""
-    host = F.translate(F.regexp_extract(F.coalesce(F.col(f"`{url}`").cast("string"), F.lit("")), HOST, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    source = pages.select(packed(pages, outputs, keep).alias("kept"), F.when(host != "", F.xxhash64(host)).alias("site"), as_text(html).alias("html"))
-    schema = T.StructType([*source.drop("html").schema, *T.StructType.fromDDL(_PARSED)])
+def _identified(pages: DataFrame, kept: Column, html: str, url: str) -> DataFrame:
+    host = F.translate(F.regexp_extract(as_text(url), HOST, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    named = pages.select(kept.alias("kept"), F.when(host != "", F.xxhash64(host)).alias("site"), as_text(html).alias("html"))
+    return named.select("kept", "site", F.xxhash64("html").alias("long_hash"), F.hash("html").alias("short_hash"), "html")
+
+
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """Stored, without texts: the subtrees of each page that hold text of its article. A key stands for a subtree of a site, its
+    lowest bit tells whether it is strict; ``story`` stands for the article."""
+    source = pages.where(F.col("site").isNotNull()).select(*_PAGE, "html")
+    schema = T.StructType([*source.drop("html").schema, *T.StructType.fromDDL(_SUBTREES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [parse(h) for h in part.column(2).to_pylist()]
-                sites = [(s or 0) & 0xFFFFFFFFFFFFFFFF for s in part.column(1).to_pylist()]
-                keys = [[_key(s, h, k) for h, k in zip(p.hashes, p.strict)] for s, p in zip(sites, found)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array([p.runs for p in found], pa.list_(pa.string())),
-                        pa.array(keys, pa.list_(pa.int64())),
-                        *[pa.array([getattr(p, n) for p in found], pa.list_(pa.int32())) for n in ("first", "last")],
-                        pa.array([p.strict for p in found], pa.list_(pa.bool_())),
-                    ],
-                    schema.fieldNames(),
-                )
-
-    return stored(source.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
+                found = [parse(h) for h in part.column(3).to_pylist()]
+                keys = [[_key(s, h, k) for h, k in zip(p.hashes, p.strict)] for s, p in zip(part.column(0).to_pylist(), found)]
+                stories = [xxhash.xxh3_64_intdigest("".join(p.runs)) >> 1 for p in found]
+                columns = [pa.array(keys, pa.list_(pa.int64()))]
+                columns += [pa.array([getattr(p, n) for p in found], pa.list_(pa.int32())) for n in ("first", "last")]
+                columns += [pa.array([p.strict for p in found], pa.list_(pa.bool_())), pa.array(stories, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(3)], *columns], schema.fieldNames())
+
+    return stored(source.mapInArrow(run, schema))
 
 
 def _key(site: int, digest: int, strict: bool) -> int:
-    key = ((site * 0x9E3779B97F4A7C15 ^ digest) & 0xFFFFFFFFFFFFFFFE) | strict
+    key = (((site & 0xFFFFFFFFFFFFFFFF) * 0x9E3779B97F4A7C15 ^ digest) & 0xFFFFFFFFFFFFFFFE) | strict
     return key - (1 << 64) if key >> 63 else key
 
 
@@ -312,13 +313,15 @@ def _split_join(left: DataFrame, right: DataFrame, on: str, weight: str, total:
     return left.join(few, on, how).unionByName(rest.join(broadcast_under(right.where(~hot)), on, how))
 
 
-def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, article_pages: int = ARTICLE_PAGES, article_share: float = ARTICLE_SHARE) -> DataFrame:
+def site_templates(subtrees: DataFrame, min_pages: int = MIN_PAGES, article_pages: int = ARTICLE_PAGES, article_share: float = ARTICLE_SHARE) -> DataFrame:
     """Stored (key, n): the subtrees that are templates of their site, and their pages."""
-    known = parsed.where(F.col("site").isNotNull())
-    counts = known.select("site", F.explode(F.array_distinct("keys")).alias("key")).groupBy("site", "key").agg(F.count(F.lit(1)).alias("n"))
+    each = subtrees.select("site", "story", F.explode(F.array_distinct("keys")).alias("key"))
+    counts = each.groupBy("site", "key").agg(F.count(F.lit(1)).alias("n"), F.min("story").alias("one"), F.max("story").alias("other"))
     strict = F.col("key").bitwiseAND(F.lit(1)) == 1
-    often = stored(counts.where(F.col("n") >= F.when(strict, F.lit(article_pages)).otherwise(F.lit(min_pages))))
-    sites = stored(known.groupBy("site").agg(F.count(F.lit(1)).alias("pages")))
+    # what stands on copies of one article only is no template
+    enough = F.when(strict, (F.col("n") >= article_pages) & (F.col("one") != F.col("other"))).otherwise(F.col("n") >= min_pages)
+    often = stored(counts.where(enough).select("site", "key", "n"))
+    sites = stored(subtrees.groupBy("site").agg(F.count(F.lit(1)).alias("pages")))
     total = sites.agg(F.sum("pages")).first()[0] or 0
     shared = _split_join(often.where(strict), sites, "site", "pages", total, "inner")
     return stored(often.where(~strict).select("key", "n").unionByName(shared.where(F.col("n") >= F.col("pages") * F.lit(article_share)).select("key", "n")))
@@ -333,28 +336,31 @@ def main_text(
     article_pages: int = ARTICLE_PAGES,
     article_share: float = ARTICLE_SHARE,
 ) -> DataFrame:
-    """Columns ``keep`` (all by default) with ``text``, ``n_chars`` (code points) and ``n_template`` (template subtrees found on the page)."""
+    """Columns ``keep`` (all by default) with ``text``, ``n_chars`` (code points) and ``n_template`` (template subtrees cut from the page)."""
     outputs = ["text", "n_chars", "n_template"]
-    parsed = parsed_pages(pages, outputs, keep, html, url)
-    templates = site_templates(parsed, min_pages, article_pages, article_share)
-    subtree = F.explode(F.arrays_zip("keys", "first", "last", "strict")).alias("s")
-    subtrees = parsed.select("row", subtree).select("row", F.col("s.keys").alias("key"), F.col("s.first").alias("first"), F.col("s.last").alias("last"), F.col("s.strict").alias("strict"))
+    named = _identified(pages, packed(pages, outputs, keep), html, url)
+    subtrees = page_subtrees(named)
+    templates = site_templates(subtrees, min_pages, article_pages, article_share)
+    one = F.explode(F.arrays_zip("keys", "first", "last", "strict")).alias("s")
+    each = subtrees.select(*_PAGE, one).select(*_PAGE, F.col("s.keys").alias("key"), F.struct("s.first", "s.last", "s.strict").alias("cut"))
     total = templates.agg(F.sum("n")).first()[0] or 0
-    found = _split_join(subtrees, templates, "key", "n", total, "inner")
-    # only subtrees that hold article text matter to it; the others are counted
-    cut = F.when(F.col("first") < F.col("last"), F.struct("first", "last", "strict"))
-    cuts = found.groupBy("row").agg(F.collect_list(cut).alias("cuts"), F.count(F.lit(1)).alias("n_template"))
-    joined = parsed.select("row", "kept", "runs").join(cuts, "row", "left").select("kept", "runs", "cuts", F.coalesce("n_template", F.lit(0)).cast("bigint").alias("n_template"))
+    found = _split_join(each, templates, "key", "n", total, "inner")
+    cuts = stored(found.groupBy(*_PAGE).agg(F.collect_set("cut").alias("cuts")))
+    # the texts are dealt anew only if the cuts are too many to go to them
+    joined = named.join(broadcast_under(cuts, 200_000), _PAGE, "left").select("kept", "html", "cuts")
     schema = T.StructType([joined.schema["kept"], *T.StructType.fromDDL("text string, n_chars bigint, n_template bigint")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = []
-                for runs, cuts in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    texts.append(assembled(runs, [(c["first"], c["last"], c["strict"]) for c in cuts or ()])[0])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), part.column(3)], schema.fieldNames())
-
-    done = joined.mapInArrow(run, schema)
-    return done.select(*unpacked(done, "kept"), *outputs)
+                done = [
+                    assembled(parse(text).runs, [(c["first"], c["last"], c["strict"]) for c in cuts or ()])
+                    for text, cuts in zip(part.column(1).to_pylist(), part.column(2).to_pylist())
+                ]
+                texts, taken = [t for t, _ in done], [n for _, n in done]
+                columns = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(taken, pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema.fieldNames())
+
+    result = joined.mapInArrow(run, schema)
+    return result.select(*unpacked(result, "kept"), *outputs)
