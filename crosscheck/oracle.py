@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from trackstrata.model import CONFIG_NUMBERS
+
 from .fixtures import DETECTIONS_SQL, REVIEWED_SQL, SESSIONS_SQL, WIDE_ORDERS, WIDE_SQL
+from .stored import STARTS
 
 K = "cam_ID, rec_ID, track_ID"
 POLL = "('Hymenoptera', 'Diptera', 'Lepidoptera', 'Coleoptera')"
@@ -354,7 +357,7 @@ ORACLE |= {
     "resolve_files": f"with i as ({_HTTPS}) select page_id, upper(url) as crop_path, file_path from pages left join i on {_NAME.format('pages.url')} = file_name",
     "missing_files": f"with i as ({_HTTPS}) select page_id, upper(url) as crop_path from pages where {_NAME.format('url')} not in (select file_name from i)",
     "stratum_number": "select p_partkey, concat('out/strata', p_size, '_', p_type, '.csv') as name, case when p_size between 1 and 8 then p_size end as stratum_number from part",
-    "json_first": "select event_id, case when (props::json ->> '$.k') = '0' then 'unknown' else props::json ->> '$.k' end as found from events",
+    "json_first": "select event_id, case when event_type <> 'view' and user_id <> 0 then cast(user_id as varchar) when (props::json ->> '$.k') = '0' then 'unknown' else props::json ->> '$.k' end as found from events",
     "json_fields": "select event_id, cast(props::json ->> '$.k' as double) as k, cast(null as double) as nothing from events",
     "parsed_configs": _CONFIGS,
     "config_quality": f"select filename, parse_ok, missing from ({_CONFIGS}) where missing <> ''",
@@ -371,3 +374,58 @@ ORACLE |= {
     "validation_metrics": f"with r as ({REVIEWED_SQL}) select {_METRICS} from r",
     "validation_metrics_by_group": f"with r as ({REVIEWED_SQL}) select lang, source, {_METRICS} from r group by lang, source",
 }
+
+# --- files ----------------------------------------------------------------------------------------
+
+_RANKS_OF = "bioclip_species, bioclip_genus, bioclip_family, bioclip_order, 'Insecta' as bioclip_class"
+_TEXT = (
+    "select cam_ID, rec_ID, cast(track_ID as varchar) as track_ID, {time} as timestamp, confidence, x_min, y_min, x_max, y_max, "
+    f"{_RANKS_OF}, bioclip_score, crop_path{{more}} from det"
+)
+_TIME = "strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f')"
+_BROKEN = f"case when contains(crop_path, '/error/') then 'not a time' else {_TIME} end"
+_KIND = "split_part(crop_path, '/', 2)"
+_STARTS = ("starts", STARTS)
+_MERGED = _with(("det", DETECTIONS_SQL), _STARTS, ("parsed", "select *, case when not contains(crop_path, '/error/') then timestamp end as at from det"), ("merged", _TEXT.format(time=_BROKEN, more=", s.setting as plant_species").replace("cam_ID, rec_ID", "det.cam_ID, rec_ID").replace("from det", "from parsed det asof left join starts s on det.cam_ID = s.cam_ID and det.at >= s.start")))
+ORACLE |= {
+    "process_once_votes": _with(*_tracks(where="confidence >= 0.4::double and confidence < 0.95::double")) + "select * from votes",
+    "process_once_tracks": ORACLE["track_top1_filtered"],
+    "process_once_removed": ORACLE["removal_counts"],
+    "sorted_tracks": _with(*TRACKS) + f"select {K}, row_number() over (order by cam_ID, rec_ID, track_ID) as position from tracks",
+    "strict_timestamps": "select event_id, ts as timestamp from events",
+    "median_money": "select l_returnflag, median(case when l_orderkey % 1000 = 0 then l_extendedprice * 1e9::double else l_extendedprice end) as median from lineitem group by 1",
+    "median_split_money": "with p as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, case when l_orderkey % 1000 = 0 then l_extendedprice * 1e9::double else l_extendedprice end as price from lineitem), "
+    "m as (select l_returnflag, median(price) as median from p group by 1) "
+    "select p.*, median, case when price < median then 'low_prob' else 'high_prob' end as prob_cat from p join m using (l_returnflag)",
+    "detection_files": DET + _TEXT.format(time=_TIME, more=f", {_KIND} as source_file"),
+    "detection_files_by_name": DET + _TEXT.format(time=_TIME, more=f", case when {_KIND} = 'view' then concat('n ', crop_path) end as note"),
+    "config_files": _with(_STARTS)
+    + "select concat(strftime(start, '%Y-%m-%d_%H-%M-%S'), '_config_', cam_ID, case when dayofyear(start) % 2 = 0 then '_flower' else '_platform' end, '.json') as filename, "
+    "strftime(start, '%Y-%m-%d_%H-%M-%S') as date_time, cam_ID, setting as deployment_setting, cast(dayofyear(start) as double) as location_latitude, "
+    + ", ".join(f"cast(null as double) as {n}" for n in CONFIG_NUMBERS if n != "location_latitude")
+    + " from starts",
+    "merged_files": _MERGED + "select * from merged",
+    "merge_counts": _MERGED + "select 'rows' as step, count(*) as n from merged union all select 'unparsed_timestamps', count(*) from merged where timestamp = 'not a time' "
+    "union all select 'without_camera', count(*) from merged where cam_ID is null union all select 'without_plant', count(*) from merged where plant_species is null",
+    "stored_strata": ORACLE["sample_families"],
+    "run_manifest": _with(*TRACKS) + "select true as named, true as dated, concat('{\"min_prob\": \">=0.1\", \"rows\": ', count(*), '}') as parameters from tracks where top1_prob_weighted >= 0.1::double",
+    "reviewed_file": ORACLE["attach_labels"],
+    "identified_file": ORACLE["expert_defaults"],
+    "checklist_file": "select distinct upper(p_name) as species from part where p_size > 5",
+}
+_PICKED = (
+    "picked",
+    f"select 'sample_all' as sample, cast(null as double) as threshold, cast(null as varchar) as sampled_genus, cast(null as bigint) as part, {K}, top1_prob_weighted "
+    f"from (select * from tracks where det_conf_mean > 0.4::double order by {_md5('sample_all')} limit 60) "
+    f"union all select 'strata_thresholds', threshold, null, null, {K}, top1_prob_weighted from ({_draw('p', 'threshold', 30, 'strata_thresholds')}) "
+    f"union all select 'strata_genus', null, sampled_genus, cast((row_number() over (order by {_md5('chunk')}) - 1) // 10 + 1 as bigint), {K}, top1_prob_weighted from genus",
+)
+_PASSED = [
+    ("t", "select unnest([0.2::double, 0.5::double, 0.55::double]) as threshold"),
+    ("p", "select tracks.*, threshold from tracks join t on top1_prob_weighted > threshold where bioclip_family = 'Syrphidae'"),
+]
+ORACLE |= {
+    "expert_samples": _with(*TRACKS, _BEST, _GENUS, *_PASSED, _PICKED)
+    + f"select sample, threshold, sampled_genus, part, {K}, top1_prob_weighted, crop_path from picked left join best using ({K})",
+    "stored_parts": _with(*TRACKS, _BEST, _GENUS, *_PASSED, _PICKED) + f"select sample, part, threshold, {K}, crop_path from picked left join best using ({K})",
+}

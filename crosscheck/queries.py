@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackstrata import functions as fn
 from trackstrata import operators as op
-from trackstrata import plans, sources
+from trackstrata import plans, sinks, sources
 from trackstrata.model import CAMERA_PATHS, TRACK_KEYS
 from trackstrata.plans.strata import label_tracks
 from trackstrata.session import hold
 from trackstrata.sources import index_paths, parse_configs, with_stratum_number
 
+from . import stored
 from .fixtures import WIDE_ORDERS, detections, reviewed, sessions, table, wide_tracks
 
 KEYS = list(TRACK_KEYS)
@@ -93,6 +94,40 @@ def threshold_ops(spark, sf_dir):
     return counts.select(F.explode(pairs).alias("p")).select("p.*")
 
 
+_SLOTS = dict(min_conf="0.4", max_conf="<0.95", min_duration=">0", max_duration="<=80000", min_prob=">=0.1", max_prob="0.9")
+
+
+def _once(spark, sf_dir):
+    return plans.process_once(detections(spark, sf_dir), stored.scratch(spark, "parts"), **_SLOTS)
+
+
+@query
+def process_once_votes(spark, sf_dir):
+    return _once(spark, sf_dir)[0]
+
+
+@query
+def process_once_tracks(spark, sf_dir):
+    return _once(spark, sf_dir)[1]
+
+
+@query
+def process_once_removed(spark, sf_dir):
+    return _once(spark, sf_dir)[2]
+
+
+@query
+def sorted_tracks(spark, sf_dir):
+    """The track table written in order of its key, and each row's place by file and row."""
+    path = sinks.write_table(tracks(spark, sf_dir), stored.scratch(spark, "sorted"), order_by=KEYS)
+    at = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
+    rows = spark.read.parquet(path).select(*KEYS, *at)
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.join(F.broadcast(files.select("file", F.coalesce(before, F.lit(0)).alias("before"))), "file")
+    return placed.select(*KEYS, (F.col("before") + F.col("row") + 1).alias("position"))
+
+
 @query
 def removal_counts(spark, sf_dir):
     return plans.track_steps(
@@ -109,6 +144,12 @@ def parsed_timestamps(spark, sf_dir):
     return op.parse_ts(table(spark, sf_dir, "events").select("event_id", text.alias("timestamp")))
 
 
+@query
+def strict_timestamps(spark, sf_dir):
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return op.parse_ts(table(spark, sf_dir, "events").select("event_id", text.alias("timestamp")), strict=True)
+
+
 @query
 def first_plant_per_track(spark, sf_dir):
     return op.first_per_key(detections(spark, sf_dir), KEYS, ["timestamp"], ["plant_species"])
@@ -181,6 +222,97 @@ def merged_tracks(spark, sf_dir):
     return op.track_top1(plans.prepare_detections(joined))
 
 
+# --- files ----------------------------------------------------------------------------------------
+
+
+@query
+def detection_files(spark, sf_dir):
+    """CSV files found below a folder, read as one table with the file of each row."""
+    rows = sources.read_detections(spark, stored.detection_files(spark, sf_dir), with_source=True)
+    return rows.withColumn("source_file", F.regexp_extract("source_file", r"kind=([^/]*)/\d+_metadata_merged_crops_classified\.csv$", 1))
+
+
+@query
+def detection_files_by_name(spark, sf_dir):
+    """Files whose headers differ in order and columns."""
+    return sources.read_detections(spark, stored.detection_files(spark, sf_dir, mixed=True), by_name=True)
+
+
+@query
+def config_files(spark, sf_dir):
+    """Config documents found by name, merged to one stored table."""
+    found = sources.read_configs(spark, stored.config_files(spark, sf_dir))
+    path = sinks.write_table(found.select(*sources.merged_config_columns()), stored.scratch(spark, "configs"))
+    return sources.read_table(spark, path)
+
+
+@query
+def merged_files(spark, sf_dir):
+    """Config and detection files to the stored table of detections with plants."""
+    merged = plans.merge_detections(spark, stored.config_files(spark, sf_dir), stored.detection_files(spark, sf_dir, broken=True))
+    return sources.read_table(spark, sinks.write_table(merged, stored.scratch(spark, "merged")))
+
+
+@query
+def merge_counts(spark, sf_dir):
+    """What an observation counts while the merged table is written."""
+    seen = Observation()
+    merged = plans.merge_detections(spark, stored.config_files(spark, sf_dir), stored.detection_files(spark, sf_dir, broken=True), observation=seen)
+    sinks.write_table(merged, stored.scratch(spark, "merged"))
+    return spark.createDataFrame(sorted(seen.get.items()), "step string, n bigint")
+
+
+@query
+def stored_strata(spark, sf_dir):
+    """One folder per family and stratum, species under their full names."""
+    rows = hold(detections(spark, sf_dir))
+    drawn = plans.sample_families(hold(op.track_top1(plans.prepare_detections(rows))), _SIZES)
+    path = sinks.write_strata(op.attach_best(drawn, rows).select("family", "stratum", *KEYS, "crop_path"), stored.scratch(spark, "strata"))
+    return sources.read_table(spark, path).select("family", "stratum", *KEYS, "crop_path")
+
+
+@query
+def stored_parts(spark, sf_dir):
+    """Expert samples in one folder per sample and part."""
+    drawn = _expert_samples(spark, sf_dir).select("sample", "part", "threshold", *KEYS, "crop_path")
+    path = sinks.write_strata(drawn, stored.scratch(spark, "expert"), by=["sample", "part"], fmt="parquet")
+    return sources.read_table(spark, path).select("sample", F.col("part").cast("bigint").alias("part"), "threshold", *KEYS, "crop_path")
+
+
+@query
+def run_manifest(spark, sf_dir):
+    """Parameters and row totals of a run, stored in its folder."""
+    path, run = stored.scratch(spark, "run"), sinks.new_run_id("checked")
+    passing, seen = sinks.observed(op.filter_range(tracks(spark, sf_dir), "top1_prob_weighted", ">=0.1"))
+    sinks.write_table(passing, path, run_id=run)
+    written = sinks.write_manifest(spark, {"min_prob": ">=0.1", "rows": seen.get["rows"]}, path, run_id=run)
+    found = sources.read_table(spark, written, "run_id string, written_at string, parameters string", "json")
+    dated = F.to_timestamp_ntz("written_at", F.lit("yyyy-MM-dd'T'HH:mm:ss")).isNotNull()
+    return found.select(F.col("run_id").rlike(r"^checked_\d{4}-\d\d-\d\d_\d\d-\d\d-\d\d$").alias("named"), dated.alias("dated"), "parameters")
+
+
+@query
+def reviewed_file(spark, sf_dir):
+    """The reviewed table as a CSV file and back."""
+    rows = attach_labels(spark, sf_dir)
+    path = sinks.write_table(rows, stored.scratch(spark, "validated"), fmt="csv")
+    return sources.read_table(spark, path, rows.schema, "csv")
+
+
+@query
+def identified_file(spark, sf_dir):
+    """The table of expert identifications as a CSV file and back."""
+    rows = _expert(spark, sf_dir)
+    path = sinks.write_table(rows, stored.scratch(spark, "identified"), fmt="csv")
+    return sources.read_table(spark, path, rows.schema, "csv")
+
+
+@query
+def checklist_file(spark, sf_dir):
+    names = table(spark, sf_dir, "part").select(F.when(F.col("p_size") > 5, F.upper("p_name")).alias("species"), "p_size")
+    return sources.read_checklist(spark, sinks.write_table(names, stored.scratch(spark, "checklist"), fmt="csv"))
+
+
 # --- reports --------------------------------------------------------------------------------------
 
 
@@ -250,6 +382,22 @@ def group_median_refined(spark, sf_dir):
     return op.group_median_refined(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice")
 
 
+def _price(spark, sf_dir):
+    """Prices, a few of them huge: very many values, unevenly spread."""
+    huge = F.when(F.col("l_orderkey") % 1000 == 0, F.col("l_extendedprice") * 1e9).otherwise(F.col("l_extendedprice"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", huge.alias("price"))
+
+
+@query
+def median_money(spark, sf_dir):
+    return op.group_median(_price(spark, sf_dir), ["l_returnflag"], "price", most=1000)
+
+
+@query
+def median_split_money(spark, sf_dir):
+    return op.median_split(_price(spark, sf_dir), ["l_returnflag"], "price")
+
+
 @query
 def median_split_by_group(spark, sf_dir):
     split = op.median_split(wide_tracks(spark, sf_dir), ["bioclip_genus"], "top1_prob_weighted")
@@ -338,6 +486,16 @@ def sample_chunks(spark, sf_dir):
     return plans.strata_genus(stored_tracks(spark, sf_dir), n=5, chunk_size=10)
 
 
+def _expert_samples(spark, sf_dir):
+    sizes = dict(n_all=60, min_confidence=0.4, thresholds=[0.2, 0.5, 0.55], n_threshold=30, n_genus=5, chunk_size=10)
+    return plans.expert_samples(tracks(spark, sf_dir), detections(spark, sf_dir), **sizes)
+
+
+@query
+def expert_samples(spark, sf_dir):
+    return _expert_samples(spark, sf_dir).select("sample", "threshold", "sampled_genus", "part", *KEYS, "top1_prob_weighted", "crop_path")
+
+
 @query
 def chunk_wide(spark, sf_dir):
     return op.chunk(wide_tracks(spark, sf_dir).select(*KEYS), 100, position="position")
@@ -391,7 +549,8 @@ def stratum_number(spark, sf_dir):
 
 @query
 def json_first(spark, sf_dir):
-    found = fn.json_first("props", ["a.b", "missing", "k"], "unknown")
+    nested = F.concat(F.lit('{"a": {"b": '), F.when(F.col("event_type") == "view", "0").otherwise(F.col("user_id").cast("string")), F.lit('}, "old": '), "props", F.lit("}"))
+    found = fn.json_first(nested, ["a.b", "missing", "old.k"], "unknown")
     return table(spark, sf_dir, "events").select("event_id", found.alias("found"))
 
 

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from trackstrata import plans, sinks
@@ -180,16 +181,103 @@ def test_checklist_file(spark, tmp_path):
         read_checklist(spark, str(tmp_path / "bad.csv"))
 
 
-def test_file_index_reads_only_the_listing(spark, tmp_path):
-    put(tmp_path, "img/A/One.JPG", "x")
-    put(tmp_path, "img/B/two.jpg", "y")
-    index = file_index(spark, str(tmp_path / "img"))
-    assert sorted(r.file_name for r in index.collect()) == ["one.jpg", "two.jpg"]
-    assert "ReadSchema: struct<path:string>" in index._jdf.queryExecution().executedPlan().toString()
-
-
-def test_checkpoint_folder_is_the_sessions(spark):
-    from trackstrata.session import ensure_checkpoint_dir, hold
-
-    assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
-    assert hold(spark.range(5)).where(F.col("id") > 2).count() == 2
+def test_file_index_lists_in_tasks(spark, tmp_path, monkeypatch):
+    from trackstrata.sources import files, listing
+
+    for name in ("One.JPG", "A/two.jpg", "A/b c/Drei é.jpg", "A/b c/d/one.jpg", "B/_hidden.jpg", "B/.also", "_no/x.jpg", "B/e.txt"):
+        put(tmp_path, f"img/{name}", "x" * 10)
+    os.makedirs(f"{tmp_path}/img/empty/folder")
+    root = str(tmp_path / "img")
+    index = {r.file_name: r.file_path for r in file_index(spark, root, "*.[jJ][pP][gG]").collect()}
+    monkeypatch.setattr(files, "can_list", lambda _: False)
+    assert index == {r.file_name: r.file_path for r in file_index(spark, root, "*.[jJ][pP][gG]").collect()}
+    assert sorted(index) == ["drei é.jpg", "one.jpg", "two.jpg"] and index["one.jpg"] == f"file:{root}/One.JPG"
+    listed = listing.list_files(spark, f"file://{root}")
+    assert listed.count() == 5 and "MapInArrow" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert listing.can_list("s3a://b/x") and not listing.can_list("viewfs://store/x")
+
+
+def test_headers_come_from_the_first_bytes(spark, tmp_path, monkeypatch):
+    from trackstrata.sources import detections
+
+    other = ",".join([*reversed(HEADER.split(",")), "note"])
+    cells = ",".join([*reversed(row(cam="007", track="9").split(",")), "n"])
+    put(tmp_path, f"a/{NAME}", "\ufeff" + "\r\n".join(["", HEADER, row(), HEADER]) + "\r\n")
+    put(tmp_path, f"b dir/é/{NAME}", other + "\n" + "\n".join([cells] * 2000))
+    put(tmp_path, f"c/{NAME}", "")
+    got = read_detections(spark, str(tmp_path), by_name=True)
+    assert got.count() == 2001 and got.where("note = 'n' and cam_ID = '007' and bioclip_score = 0.9").count() == 2000
+    heads = detections.first_bytes(spark.createDataFrame([(f"file:{tmp_path}/b dir/é/{NAME}",)], "path string"), "path", 64).first().head
+    assert bytes(heads) == other.encode()[:64]
+    monkeypatch.setattr(detections, "HEADER_BYTES", len(other) + 5)  # the header line is whole, the next one is not
+    assert read_detections(spark, str(tmp_path), by_name=True).count() == 2001
+    monkeypatch.setattr(detections, "HEADER_BYTES", len(other) - 5)
+    with pytest.raises(ValueError, match="no file with a header"):
+        read_detections(spark, str(tmp_path), by_name=True).count()
+    monkeypatch.setattr(detections, "can_list", lambda _: False)
+    assert read_detections(spark, str(tmp_path), by_name=True).count() == 2001
+
+
+def test_merge_counts_strict_and_device(spark, tmp_path):
+    config = json.dumps({"ssid": "001", "deployment": {"setting": "Salvia"}})
+    put(tmp_path, "raw/2024-05-01_09-00-00_config_unit_flower.json", config)
+    put(tmp_path, "raw/2024-05-01_09-30-00_config_other_flower.json", config.replace("Salvia", "Aster"))
+    lines = [row(), row(ts="not a time"), row(cam=""), row(ts=""), row(cam="002")]
+    put(tmp_path, f"processed/{NAME}", "\n".join([HEADER, *lines]) + "\n")
+    folders = (f"{tmp_path}/raw", f"{tmp_path}/processed")
+    seen = Observation()
+    merged = plans.merge_detections(spark, *folders, observation=seen)
+    assert sum(1 for _ in merged.toLocalIterator()) == 5
+    expected = {
+        "rows": merged.count(),
+        "unparsed_timestamps": merged.where("timestamp = 'not a time'").count(),
+        "without_camera": merged.where("cam_ID is null").count(),
+        "without_plant": merged.where("plant_species is null").count(),
+    }
+    assert seen.get == expected == {"rows": 5, "unparsed_timestamps": 1, "without_camera": 1, "without_plant": 4}
+    assert {r.plant_species for r in merged.collect()} == {"Aster", None}
+    assert {r.plant_species for r in plans.merge_detections(spark, *folders, device="unit").collect()} == {"Salvia", None}
+    with pytest.raises(Exception, match="does not parse: not a time"):
+        plans.merge_detections(spark, *folders, strict=True).collect()
+
+
+def test_sorted_sink(spark, tmp_path):
+    rows = spark.range(5000).select(F.when(F.col("id") % 50 != 0, F.pmod(F.xxhash64("id"), F.lit(40))).alias("a"), F.pmod(F.hash("id"), F.lit(9)).alias("b"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = sinks.write_table(rows.repartition(6), str(tmp_path / "sorted"), order_by=["a", "b", "id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    found = [tuple(r) for f in files for r in spark.read.parquet(f"{path}/{f}").collect()]
+    assert len(files) > 1 and found == sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0] is not None, r))
+
+
+def test_held_tables_prune_columns_and_are_deleted(spark, tmp_path):
+    from trackstrata import session
+
+    with session.holding(spark) as folder:
+        held = session.hold(spark.range(5).selectExpr("id", "cast(id as string) as name"))
+        plan = held.select("name").where("name > '2'")._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<name:string>" in plan and "PushedFilters: [IsNotNull(name), GreaterThan(name,2)]" in plan
+        assert held.where("id > 2").count() == 2 and all(folder in f for f in held.inputFiles())
+    path, files = session._files(spark, folder)
+    assert not files.exists(path)
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    from trackstrata.session import broadcast_if_small
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+    rows = spark.range(100).selectExpr("id", "sha2(string(id), 512) as text")
+    assert hinted(broadcast_if_small(rows)) and not hinted(broadcast_if_small(rows, rows=99)) and not hinted(broadcast_if_small(rows, size=10_000))
+
+
+def test_settings_of_the_session_win(spark):
+    from trackstrata.session import get_spark
+
+    before = spark.sparkContext.getConf().get("spark.sql.session.timeZone")
+    assert get_spark(**{"spark.sql.test.setting": "x"}).conf.get("spark.sql.session.timeZone") == before
+    assert spark.conf.get("spark.sql.test.setting") == "x"

@@ -227,3 +227,59 @@ def test_narrowing_keeps_the_middle_and_few_values(spark):
     kept = _narrowed(counts, ["g"], 64)
     assert 1 <= kept.count() <= 160
     assert _from_counts(kept.select(counts.columns), ["g"], "m").first().m == _from_counts(counts, ["g"], "m").first().m
+
+
+def test_medians_bound_the_values_of_a_task(spark):
+    df = spark.range(3_000).select((F.col("id") % 3).alias("g"), F.exp(F.pmod(F.xxhash64("id"), F.lit(5_000)) / 300).alias("x"))
+    exact = {r.g: r.m for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
+    for most in (50, 65_536):
+        medians = op.group_median(df, ["g"], "x", most=most)
+        assert {r.g: r.median for r in medians.collect()} == pytest.approx(exact, rel=1e-15)
+    assert op.group_median(df.where("false"), ["g"], "x").count() == 0
+
+
+def test_chunks_compute_their_rows_once(spark, people, tmp_path):
+    people.write.parquet(f"{tmp_path}/people")
+    parts = op.chunk(spark.read.parquet(f"{tmp_path}/people"), 100, keys=["id"], position="position")
+    assert sorted(r.position for r in parts.collect()) == list(range(1, people.count() + 1))
+    final = parts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_large_samples_read_their_table_once(spark, people, tmp_path, monkeypatch):
+    from trackstrata.operators import sampling
+
+    people.write.parquet(f"{tmp_path}/people")
+    stored = spark.read.parquet(f"{tmp_path}/people")
+    expected = {s: sorted(r.id for r in sampling._by_cells(stored, stored.columns, [], n, 123, ["id"], "x", 4).collect()) for s, n in (("a", 1500),)}
+    sample = op.sample_n(stored, 1500, keys=["id"], salt="x")
+    assert sorted(r.id for r in sample.collect()) == expected["a"]
+    assert not any("/people" in f for f in sample.inputFiles())
+    # sub-strata that are too few lose rows, which is seen: the whole table is taken
+    monkeypatch.setattr(sampling, "_FILL", 50)
+    again = op.sample_n(stored, 1500, keys=["id"], salt="x")
+    assert sorted(r.id for r in again.collect()) == expected["a"]
+    assert any("/people" in f for f in again.inputFiles())
+
+
+def test_best_row_is_cut_before_the_shuffle(spark, people):
+    plan = op.best_per_key(people, ["s"], "p", ["id"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "SortAggregate" not in plan
+
+
+def test_expert_samples_are_those_of_the_three_plans(spark):
+    key = ["track_ID"]
+    tracks = track_table(spark, [one(i, genus=f"G{i % 3}") for i in range(300)] + [one(i, family="Other", conf=0.6) for i in range(300, 400)])
+    crops = tracks.select("track_ID", F.lit(0.5).alias("bioclip_score"), F.concat(F.lit("c"), "track_ID").alias("crop_path"))
+    sizes = dict(n_all=30, thresholds=[0.5, 0.9], n_threshold=10, n_genus=40, chunk_size=50, keys=key)
+    for limit in ("1000", "5"):
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
+        try:
+            drawn = plans.expert_samples(tracks, crops, **sizes).collect()
+        finally:
+            spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+        assert all(r.crop_path == f"c{r.track_ID}" for r in drawn)
+        got = {s: sorted((r.threshold, r.sampled_genus, r.part, r.track_ID) for r in drawn if r["sample"] == s) for s in ("sample_all", "strata_thresholds", "strata_genus")}
+        assert got["sample_all"] == sorted((None, None, None, r.track_ID) for r in plans.sample_all(tracks, 30, keys=key).collect())
+        assert got["strata_thresholds"] == sorted((r.threshold, None, None, r.track_ID) for r in plans.strata_thresholds(tracks, [0.5, 0.9], 10, keys=key).collect())
+        assert got["strata_genus"] == sorted((None, r.sampled_genus, r.part, r.track_ID) for r in plans.strata_genus(tracks, 40, keys=key, chunk_size=50).collect())

@@ -108,3 +108,39 @@ def test_bad_arguments(spark):
         op.session_join(facts, sessions, columns=["setting"], strategy="guess")
     with pytest.raises(ValueError):
         op.session_join(facts.withColumn("setting", F.lit(1)), sessions, columns=["setting"])
+
+
+@pytest.mark.parametrize("how", [dict(), dict(strategy="sliced"), dict(strategy="sliced", broadcast_rows=0), dict(strategy="interval"), dict(strategy="union", salts=2)], ids=str)
+def test_the_facts_are_read_once(spark, how, tmp_path):
+    """Nothing reads them while the join is built, and the join has one scan of them."""
+    facts, sessions = frames(spark)
+    facts.write.parquet(f"{tmp_path}/facts")
+    stored = spark.read.parquet(f"{tmp_path}/facts")
+    unread = stored.withColumn("id", F.when(F.raise_error(F.lit("read")).isNull(), F.col("id")))
+    op.session_join(unread, sessions, columns=["setting"], tie=["filename"], **how)
+    joined = op.session_join(stored, sessions, columns=["setting"], tie=["filename"], **how)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    scans = plan.count("Relation [id#")
+    # the union strategy adds the facts that cannot be placed from a second branch of the same plan
+    assert scans == (2 if how.get("strategy") == "union" else 1)
+
+
+def test_slices_follow_the_sessions(spark):
+    """One long session beside many short ones: the listed rows stay within their bound and every fact finds its session."""
+    from trackstrata.operators.sessions import _listed, _measure
+
+    t0 = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    later = lambda seconds: F.timestamp_seconds(seconds + 1_704_067_200).cast("timestamp_ntz")
+    short = spark.range(2000).select(F.lit("busy").alias("cam_ID"), later(F.col("id") * 7).alias("start"), F.col("id").cast("string").alias("setting"))
+    long = spark.range(1).select(F.lit("calm").alias("cam_ID"), (t0 - F.expr("interval 4000 days")).alias("start"), F.lit("old").alias("setting"))
+    sessions = short.unionByName(long)
+    facts = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, "busy").otherwise("calm").alias("cam_ID"), later(F.col("id") * 5 - 50).alias("timestamp"))
+    for how in (dict(strategy="sliced"), dict(strategy="union"), dict(strategy="sliced", slice_seconds=3600)):
+        found = {r.id: r.setting for r in op.session_join(facts, sessions, columns=["setting"], **how).collect()}
+        expected = {i: "old" if i % 2 else str(min((i * 5 - 50) // 7, 1999)) if i >= 10 else None for i in range(3000)}
+        assert found == expected
+    intervals = op.session_intervals(sessions, columns=["setting"]).select("cam_ID", F.col("start").alias("_from"), F.struct("setting").alias("_values"), F.col("end").alias("_to"))
+    measured = _measure(intervals, "cam_ID")
+    for seconds in (measured.slice_seconds(), 60, 86_400):
+        assert _listed(intervals, seconds, measured.latest // seconds + 1).count() <= measured.listed(seconds)
+    assert measured.listed(measured.slice_seconds()) <= 3 * 2001 + 4

@@ -12,5 +12,5 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def sample_priority(seed: int, salt: str, keys: Sequence[str]) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(salt), *[F.col(k).cast("string") for k in keys]))
+def sample_priority(seed: int, salt: str | Column, keys: Sequence[str]) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(salt) if isinstance(salt, str) else salt, *[F.col(k).cast("string") for k in keys]))

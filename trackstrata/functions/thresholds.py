@@ -25,7 +25,7 @@ def threshold(c: Column | str, spec: str | float, default: str | None = None) ->
     text = str(spec).strip().strip("\"'").strip()
     found = _SPEC.fullmatch(text)
     if not found:
-        raise ValueError(f"not a threshold: {spec!r} (write e.g. '>0.5', '<=0.8', '==0.7')")
+        raise ValueError(f"{spec!r} is no threshold: expected one of {', '.join(_COMPARE)} before a plain decimal, as in '>=12.5' ")
     sign = found["sign"] or default
     if sign is None:
         raise ValueError(f"threshold {spec!r} has no operator")

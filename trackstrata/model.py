@@ -6,6 +6,8 @@ the library fit the detection tables it was written for.
 
 from __future__ import annotations
 
+import re
+
 # --- fixed values: column names of the detection and track tables -------------------------------
 TRACK_KEYS = ("cam_ID", "rec_ID", "track_ID")
 RANKS = ("bioclip_species", "bioclip_genus", "bioclip_family", "bioclip_order", "bioclip_class")
@@ -25,7 +27,8 @@ CORRECTNESS_LABELS = ("correct", "incorrect", "unclear")
 CROP_STATES = ("valid", "dismissed")
 
 # --- fixed values: session config files -----------------------------------------------------------
-CONFIG_NAME = r"^(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})_config_[^_]+_(flower|platform)\.json$"
+ANY_DEVICE = "[^_]+"
+CONFIG_NAME = rf"^(\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}-\d{{2}}-\d{{2}})_config_{ANY_DEVICE}_(flower|platform)\.json$"
 CONFIG_STAMP = "yyyy-MM-dd_HH-mm-ss"
 CAMERA_PATHS = (
     "network.hotspot.ssid",
@@ -65,10 +68,16 @@ EXPERT_COLUMNS = ("crop_path", "duration_s", "top1_prob_weighted", "det_conf_mea
 SEED = 123
 
 
+def config_name(device: str | None = None) -> str:
+    """The pattern of config file names, of any device tag or of one."""
+    return CONFIG_NAME if device is None else CONFIG_NAME.replace(ANY_DEVICE, re.escape(device))
+
+
 def _ddl(pairs: str) -> str:
     return ", ".join(p.strip() for p in pairs.strip().splitlines() if p.strip())
 
 
+# fixed values: columns of the detection and track tables
 DETECTION_DDL = _ddl(
     """
     cam_ID string
@@ -90,6 +99,7 @@ DETECTION_DDL = _ddl(
     """
 )
 
+# fixed values
 PLAIN_DETECTION_DDL = _ddl(
     """
     cam_ID string
@@ -107,6 +117,7 @@ PLAIN_DETECTION_DDL = _ddl(
     """
 )
 
+# fixed values
 TRACK_DDL = _ddl(
     """
     cam_ID string

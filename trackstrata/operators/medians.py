@@ -1,9 +1,10 @@
 """Exact group medians and the split of rows around them.
 
 A median is taken over (group, value, count) rows: the counts combine on the map side, so a group
-holding a large share of all rows costs only its distinct values. Probabilities rounded to two
-decimals have at most 101 of them. For columns with very many distinct values,
-:func:`group_median_refined` narrows each group to a bracket of its median first.
+holding a large share of all rows costs only its distinct values. Their number is bounded before a task orders them:
+by the caller's word (probabilities rounded to two decimals have at most 101), or by an approximate count per group,
+taken in one pass that shuffles no values. Groups with more than ``most`` values are narrowed to a bracket of their median first,
+by :func:`group_median_refined`.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from ..functions import median_half
 from ..session import BROADCAST_ROWS, broadcast_if_small, hold
 
 
+MOST_VALUES = 65_536
+_COUNT_ERROR = 0.05
+
+
 def _middle(low: Column, high: Column) -> Column:
     return (low + high) * F.lit(0.5)
 
@@ -39,8 +44,25 @@ def _from_counts(counts: DataFrame, groups: Sequence[str], alias: str) -> DataFr
     )
 
 
-def group_median(df: DataFrame, groups: Sequence[str], column: str, alias: str = "median") -> DataFrame:
-    """Exact median per group (mean of the two middle values for even counts); nulls are ignored."""
+def group_median(
+    df: DataFrame,
+    groups: Sequence[str],
+    column: str,
+    alias: str = "median",
+    values: int | None = None,
+    most: int = MOST_VALUES,
+) -> DataFrame:
+    """Exact median per group (mean of the two middle values for even counts); nulls are ignored.
+
+    ``values`` states a proven bound on a group's distinct values. Without one they are counted approximately, and if a group
+    may have more than ``most``, no task gets them all (see :func:`group_median_refined`)."""
+    if values is None:
+        value = F.col(column).cast("double")
+        each = df.where(value.isNotNull()).groupBy(*groups).agg(F.approx_count_distinct(value, _COUNT_ERROR).alias("_n"))
+        # five standard errors above the estimate
+        values = int((each.agg(F.max("_n")).first()[0] or 0) * (1 + 5 * _COUNT_ERROR))
+    if values > most:
+        return group_median_refined(df, groups, column, alias, most=most)
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(*groups, F.col(column).cast("double").alias("_v"))
@@ -53,7 +75,7 @@ def group_median(df: DataFrame, groups: Sequence[str], column: str, alias: str =
 
 
 def group_median_refined(
-    df: DataFrame, groups: Sequence[str], column: str, alias: str = "median", cells: int = 64, most: int = 65_536
+    df: DataFrame, groups: Sequence[str], column: str, alias: str = "median", cells: int = 64, most: int = MOST_VALUES
 ) -> DataFrame:
     """The same result for columns with unbounded distinct values, however they are spread: no task meets more than
     ``most`` (2 or more) distinct values of a group. Approximate quantiles close to the middle give each group two values
@@ -107,22 +129,18 @@ def median_split(
     median: str = "median",
     label: str = "prob_cat",
     max_groups: int | None = None,
-    cells: int | None = None,
+    values: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the group's median and a low/high label; rows without a group are dropped.
 
-    Give ``cells`` for a column with very many distinct values per group (see
-    :func:`group_median_refined`).
+    ``values`` states a proven bound on the distinct values of a group, which are counted otherwise (see :func:`group_median`).
 
     ``max_groups`` states a proven bound on the number of groups (a fixed domain, a top-N list): their
     medians are broadcast lazily. Otherwise they are held and counted, and broadcast only if few.
     """
     present = df.dropna(subset=list(groups))
-    if cells is None:
-        medians = group_median(present, groups, column, median)
-    else:
-        medians = group_median_refined(present, groups, column, median, cells)
+    medians = group_median(present, groups, column, median, values)
     if max_groups is not None and max_groups <= broadcast_rows:
         medians = F.broadcast(medians)
     else:

@@ -354,8 +354,11 @@ def best_per_key(
 ) -> DataFrame:
     """``columns`` of the highest-scored row per key (missing score counts as ``default``), ties to
     the smallest ``tie`` values. Without a score column: the first row by ``tie``."""
-    order = [F.col(t).alias(f"_{t}") for t in tie]
+    order = [F.asc_nulls_first(t) for t in tie]
     if score in df.columns:
-        order.insert(0, (-F.coalesce(finite(score), F.lit(default))).alias("_score"))
-    best = F.min_by(F.struct(*columns), F.struct(*order))
-    return keyed(df, keys).groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
+        order.insert(0, F.desc(F.coalesce(finite(score), F.lit(default))))
+    # one row per key leaves each task (window group limit), so a hot key is a few rows when it is shuffled
+    order += [F.asc_nulls_first(c) for c in columns if c not in tie]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    needed = list(dict.fromkeys([*keys, *columns, *tie, *([score] if score in df.columns else [])]))
+    return keyed(df, keys).select(*needed).withColumn("_place", place).where(F.col("_place") == 1).select(*keys, *columns)

@@ -3,6 +3,7 @@
 from .merge import merge_detections, sessions_from_configs
 from .strata import (
     FAMILIES,
+    expert_samples,
     label_tracks,
     sample_all,
     sample_families,
@@ -22,6 +23,7 @@ from .tracks import aggregate_tracks, prepare_detections, process_detections, pr
 __all__ = [
     "FAMILIES",
     "aggregate_tracks",
+    "expert_samples",
     "label_tracks",
     "merge_detections",
     "prepare_detections",

@@ -10,15 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import cut_labels, decile_bin, membership_label, name_slug, prob_class
+from ..functions import cut_labels, decile_bin, membership_label, name_slug, prob_class, sample_priority
 from ..model import HOVERFLY_FAMILY, ORDER_SHORT, POLLINATOR_ORDERS, PROB, SEED, TRACK_KEYS
-from ..operators import chunk, median_split, sample_n, stratified_sample, top_values, with_thresholds
+from ..operators import attach_best, chunk, median_split, sample_n, stratified_sample, top_values, with_thresholds
+from ..operators.sampling import group_limit
+from ..session import hold
 
 # fixed values: upper edge and label of the duration classes
 DURATION_CLASSES = ((500, "multiple_crop"),)
+ROUNDED_VALUES = 101
 
 
 def label_tracks(
@@ -103,7 +106,9 @@ def _by_median(
     active = _pollinators(tracks, prob, order, orders).where(F.col(duration) > 0)
     active = active.withColumn("prob_bin", decile_bin(prob))
     half = f"s{number}_prob_cat"
-    split = median_split(active, groups, prob, f"s{number}_median", half, max_groups)
+    # the library rounds its own probabilities to two decimals
+    values = ROUNDED_VALUES if prob == PROB else None
+    split = median_split(active, groups, prob, f"s{number}_median", half, max_groups, values)
     return stratified_sample(split, [*groups, half], n, seed, keys, f"strata{number}")
 
 
@@ -235,6 +240,56 @@ def strata_genus(
     return chunk(sampled, chunk_size, seed, keys) if chunk_size else sampled
 
 
+def expert_samples(
+    tracks: DataFrame,
+    detections: DataFrame,
+    n_all: int = 100,
+    min_confidence: float = 0.5,
+    thresholds: Sequence[float] = (0.5,),
+    n_threshold: int = 100,
+    n_genus: int = 50,
+    genus_threshold: float = 0.5,
+    chunk_size: int = 100,
+    seed: int = SEED,
+    keys: Sequence[str] = TRACK_KEYS,
+    prob: str = PROB,
+    confidence: str = "det_conf_mean",
+    family: str = "bioclip_family",
+    name: str = HOVERFLY_FAMILY,
+    genus: str = "bioclip_genus",
+    columns: Sequence[str] = ("crop_path",),
+) -> DataFrame:
+    """The rows of :func:`sample_all`, :func:`strata_thresholds` and :func:`strata_genus` (in parts of ``chunk_size``) as
+    one table: ``sample``, ``threshold``, ``sampled_genus``, ``part``, the track, and ``columns`` of its best detection. The
+    tracks are read once: a row is listed under every stratum it belongs to, all strata are drawn by one window, and
+    one join with the detections serves all. The drawn rows are held, so parts and join do not draw again."""
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def member(condition: Column, sample: str, n: int, threshold: Column = number, of: Column = text) -> Column:
+        parts = F.struct(F.lit(sample).alias("sample"), threshold.alias("threshold"), of.alias("sampled_genus"), F.lit(n).alias("_n"))
+        return F.when(condition, parts)
+
+    inside = F.col(family) == name
+    members = [member(F.col(confidence) > F.lit(min_confidence), "sample_all", n_all)]
+    members += [member(inside & (F.col(prob) > F.lit(t)), "strata_thresholds", n_threshold, F.lit(float(t))) for t in dict.fromkeys(thresholds)]
+    in_genus = inside & F.col(genus).isNotNull() & (F.col(prob) > F.lit(genus_threshold))
+    members.append(member(in_genus, "strata_genus", n_genus, of=F.col(genus)))
+    listed = tracks.withColumn("_member", F.explode(F.array_compact(F.array(*members)))).select(*tracks.columns, "_member.*")
+    strata, largest = ["sample", "threshold", "sampled_genus"], max(n_all, n_threshold, n_genus)
+    if largest <= group_limit(tracks):
+        order = [sample_priority(seed, F.col("sample"), keys), *keys]
+        place = F.row_number().over(Window.partitionBy(*strata).orderBy(*order))
+        drawn = listed.withColumn("_place", place).where(F.col("_place") <= largest).where(F.col("_place") <= F.col("_n")).drop("_place")
+    else:
+        sizes = {"sample_all": n_all, "strata_thresholds": n_threshold, "strata_genus": n_genus}
+        each = [stratified_sample(listed.where(F.col("sample") == s), strata, n, seed, keys, s) for s, n in sizes.items()]
+        drawn = reduce(DataFrame.unionByName, each)
+    drawn = hold(drawn.drop("_n"))
+    parts = chunk(drawn.where(F.col("sample") == "strata_genus"), chunk_size, seed, keys)
+    others = drawn.where(F.col("sample") != "strata_genus").withColumn("part", F.lit(None).cast("bigint"))
+    return attach_best(parts.unionByName(others), detections, keys, columns)
+
+
 FAMILIES: dict[str, Callable[..., DataFrame]] = {
     "strata1": strata1,
     "strata2": strata2,

@@ -1,26 +1,45 @@
-"""Session set-up, and the two ways a plan may be held or sized.
+"""Session set-up, tables that a job holds on the way, and size checks.
 
-``hold`` cuts lineage with a reliable checkpoint in the folder the cluster names, so the result
-survives lost executors. ``broadcast_if_small`` is the only place a broadcast hint is given to a
-table whose size is not fixed by its definition: it holds the table, counts it, and hints only below
-the limit.
+``hold`` computes a table once and writes it as Parquet below the folder that ``spark.checkpoint.dir`` names (else below the
+warehouse, which executors share as well). Lost executors then cost a read, and later steps still prune its columns.
+The tables of a ``holding`` block are deleted when the block ends; those held outside of one when the JVM ends.
+``broadcast_if_small`` is the only place a broadcast hint is given to a table whose size is not fixed by its definition: it
+holds the table and hints only below a number of rows and of bytes.
 """
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+#: a row in memory takes at most about so many times its bytes in Parquet
+UNPACKED = 8
+
+_OPEN: list[str] = []
+_OF_APPLICATION: dict[str, str] = {}
 
 
 def get_spark(app: str = "trackstrata", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators expect; the cluster's own settings win."""
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
+    """A session with the settings the operators expect. Settings of the cluster (submitted, or of the active
+    session) win over those; ``conf`` wins over all."""
+    active = SparkSession.getActiveSession()
+    builder = SparkSession.builder
+    if active is None:
+        builder = builder.appName(app).master(master) if master else builder.appName(app)
+        first = SparkConf()
+        for key, value in conf.items():
+            first.set(key, value)
+        SparkContext._ensure_initialized(conf=first)  # what was submitted is known to the JVM only
+        given = dict(SparkConf().getAll())
+    else:
+        given = dict(active.sparkContext.getConf().getAll())
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -29,38 +48,77 @@ def get_spark(app: str = "trackstrata", master: str | None = None, **conf: str)
         # no call-site capture per column: it doubles the time to build a plan
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
-    settings.update(conf)
+    settings = {key: value for key, value in settings.items() if key not in given} | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one is set only for a local master without one."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="trackstrata-checkpoint-")
-    context.setCheckpointDir(named)
-    return named
+def _files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share; removed when the JVM ends, if not before."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/trackstrata-{uuid.uuid4().hex}"
+    path, files = _files(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _files(spark, folder)
+    files.delete(path, True)
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    path, files = _files(spark, folder)
+    return files.getContentSummary(path).getLength()
+
+
+@contextmanager
+def holding(spark: SparkSession) -> Iterator[str]:
+    """Delete the tables that operators hold inside the block when it ends: write results to their own place before."""
+    folder = new_folder(spark)
+    _OPEN.append(folder)
+    try:
+        yield folder
+    finally:
+        _OPEN.remove(folder)
+        delete_folder(spark, folder)
+
+
+def held_in(spark: SparkSession) -> str:
+    """The folder of the innermost ``holding`` block, else the application's own."""
+    if _OPEN:
+        return _OPEN[-1]
+    application = spark.sparkContext.applicationId
+    if application not in _OF_APPLICATION:
+        _OF_APPLICATION[application] = new_folder(spark)
+    return _OF_APPLICATION[application]
+
+
+def _held(df: DataFrame) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{held_in(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def hold(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and continue from its reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and continue from its stored rows."""
+    return _held(df)[0]
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hold ``df`` and hint a broadcast if it has at most ``rows`` rows; otherwise leave the join to
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Hold ``df`` and hint a broadcast if it has at most ``rows`` rows and about ``size`` bytes; otherwise leave the join to
     the shuffle path, where adaptive execution splits skewed partitions."""
-    held = hold(df)
-    return F.broadcast(held) if has_at_most(held, rows) else held
+    held, path = _held(df)
+    small = folder_bytes(df.sparkSession, path) * UNPACKED <= size and has_at_most(held, rows)
+    return F.broadcast(held) if small else held
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:

@@ -1,5 +1,5 @@
 """Writers."""
 
-from .tables import observed, run_manifest, write_manifest, write_strata, write_table
+from .tables import new_run_id, observed, run_manifest, write_manifest, write_strata, write_table
 
-__all__ = ["observed", "run_manifest", "write_manifest", "write_strata", "write_table"]
+__all__ = ["new_run_id", "observed", "run_manifest", "write_manifest", "write_strata", "write_table"]

@@ -20,10 +20,21 @@ def _target(path: str, run_id: str | None) -> str:
 
 
 def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", run_id: str | None = None
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+    run_id: str | None = None,
+    order_by: Sequence[str] = (),
 ) -> str:
-    """Write a table, under a run folder if ``run_id`` is given; returns where it went."""
+    """Write a table, under a run folder if ``run_id`` is given; returns where it went.
+
+    With ``order_by`` the rows are in that order (nulls first) from file to file, by name, and within each: they are dealt by ranges of
+    the columns and sorted in each task, never gathered in one."""
     target = _target(path, run_id)
+    if order_by:
+        order = [F.asc_nulls_first(c) for c in order_by]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = df.write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True)

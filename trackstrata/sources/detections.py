@@ -12,8 +12,10 @@ from pyspark.sql.types import StructType
 from ..functions.text import strip
 from ..model import DETECTION_DDL, DETECTIONS_GLOB, PLAIN_DETECTION_DDL
 from ..session import broadcast_if_small
+from .listing import can_list, first_bytes
 
 SOURCE_FILE = "_source_file"
+HEADER_BYTES = 1 << 20
 
 
 def _struct(schema: str | StructType) -> StructType:
@@ -37,9 +39,26 @@ def _lines(spark: SparkSession, directory: str, glob: str) -> DataFrame:
     return found.where(F.trim("value") != "")
 
 
-def _headers(lines: DataFrame, required: list[str]) -> DataFrame:
-    """(source_file, _header): the first line of each file's first block that names all required columns. Row numbers
-    grow along a block, so a later data row that holds the names is never taken. Other lines do not reach the grouping."""
+def _headers(spark: SparkSession, directory: str, glob: str, lines: DataFrame, required: list[str]) -> DataFrame:
+    """(source_file, _header): the first line of each file that names all required columns, among its first ``HEADER_BYTES``
+    bytes where tasks can open the files, else in its first block."""
+    if not can_list(directory):
+        return _scanned_headers(lines, required)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(directory)
+    named = files.select("path", F.col("_metadata.file_path").alias("source_file"))
+    heads = first_bytes(named, "path", HEADER_BYTES)
+    text = F.regexp_replace(F.make_valid_utf8(F.col("head").cast("string")), "^\ufeff", "")
+    found = F.split(text, r"\r\n|\n|\r")
+    # a line cut off by the limit is no header
+    found = F.when(F.length("head") < HEADER_BYTES, found).otherwise(F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0))))
+    names = lambda line: F.transform(F.split(line, ","), lambda x: strip(F.replace(x, F.lit('"'), F.lit(""))))
+    headers = F.filter(found, lambda line: F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains(names(line), c)))
+    return heads.select("source_file", F.try_element_at(headers, F.lit(1)).alias("_header")).where("_header is not null")
+
+
+def _scanned_headers(lines: DataFrame, required: list[str]) -> DataFrame:
+    """The same from a scan of the lines. Row numbers grow along a block, so a later data row that holds the names is never
+    taken. Other lines do not reach the grouping."""
     names = F.transform(F.split("value", ","), lambda x: strip(F.replace(x, F.lit('"'), F.lit(""))))
     numbered = lines.where("_start = 0").withColumn("_at", F.monotonically_increasing_id())
     for column in required:
@@ -57,7 +76,7 @@ def _names(header: str) -> list[str]:
 
 def _by_name(spark: SparkSession, directory: str, glob: str, wanted: StructType | None, required: list[str]) -> DataFrame:
     lines = _lines(spark, directory, glob)
-    headers = broadcast_if_small(_headers(lines, required))
+    headers = broadcast_if_small(_headers(spark, directory, glob, lines, required))
     texts = sorted(r["_header"] for r in headers.select("_header").distinct().collect())
     if not texts:
         raise ValueError(f"no file with a header of {required} matches {glob!r} below {directory}")
@@ -95,7 +114,7 @@ def read_detections(
     """All detection CSVs below ``directory`` as one scan.
 
     Columns are read by position and a file whose header disagrees with the schema fails loudly.
-    ``by_name`` accepts any header that names ``key`` and ``timestamp`` (found in the files' first blocks; only the
+    ``by_name`` accepts any header that names ``key`` and ``timestamp`` (found in the first bytes of each file; only the
     distinct header lines reach the driver). Every line is then parsed by its own file's header, one line a row. Columns
     that the schema does not know are kept as text, those a file lacks are null there; without a schema the
     columns are the ones found. A file without such a header ends the job.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import basename
 from .checks import require_columns
+from .listing import can_list, list_files
 
 _STRATUM = r"^strata(\d+)"
 
@@ -20,7 +21,10 @@ def index_paths(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def file_index(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
-    """Index of the files below a folder. Only the listing is read, not the contents."""
+    """Index of the files below a folder, listed in tasks; no contents are read. Where tasks cannot list (see ``listing``), Spark's
+    driver does. For a stored table of paths use :func:`index_paths`."""
+    if can_list(directory):
+        return index_paths(list_files(spark, directory, glob))
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
