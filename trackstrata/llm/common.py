@@ -2,37 +2,24 @@
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackstrata.session import ensure_checkpoint_dir
+from trackstrata.session import hold
 
 BLOCK_BYTES = 4 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the checkpoint folder that the session names; removed when the JVM ends."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    folder = f"{named.rstrip('/')}/trackstrata-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once, written as Parquet to the shared folder, and read from there: lost executors
     cost a re-read only, and later steps still prune columns."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return hold(df)
 
 
 def crc_fold(key: Column | str, folds: int) -> Column:

@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, shared_folder
+from trackstrata.session import new_folder
+
+from .common import BLOCK_BYTES
 
 VERSION, BREAK = "WARC/1.1", "\r\n"
 LEAST_BYTES = 100
@@ -148,6 +150,6 @@ def export_warc(spark: SparkSession, folder: str, target: str, records_per_file:
 
 def archived(pages: DataFrame, **columns) -> DataFrame:
     """Writes the pages to a new archive in the shared folder and reads the records back (without payload)."""
-    folder = shared_folder(pages.sparkSession)
+    folder = new_folder(pages.sparkSession)
     write_archive(pages, folder, **columns)
     return read_archive(pages.sparkSession, folder, with_payload=False)
