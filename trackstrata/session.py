@@ -79,15 +79,25 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return files.getContentSummary(path).getLength()
 
 
+def start_holding(spark: SparkSession) -> str:
+    """Hold tables in a new folder from now on, until ``stop_holding``; the caller deletes it."""
+    folder = new_folder(spark)
+    _OPEN.append(folder)
+    return folder
+
+
+def stop_holding(folder: str) -> None:
+    _OPEN.remove(folder)
+
+
 @contextmanager
 def holding(spark: SparkSession) -> Iterator[str]:
     """Delete the tables that operators hold inside the block when it ends: write results to their own place before."""
-    folder = new_folder(spark)
-    _OPEN.append(folder)
+    folder = start_holding(spark)
     try:
         yield folder
     finally:
-        _OPEN.remove(folder)
+        stop_holding(folder)
         delete_folder(spark, folder)
 
 
