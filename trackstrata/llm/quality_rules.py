@@ -17,13 +17,14 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let, stored
+from .common import as_text, let, packed, stored, unpacked
 
 WINDOW_WORDS = 8
 BLANK = r"[\\x20\\x09-\\x0D]"
-#: What to delete from a text to keep one class of characters. Lower-case ASCII letters, blanks and other rare
-#: characters are one more class, which is what these leave of the text's length.
+#: What to delete from a text to keep one class of characters. Blanks are counted with the words; control characters are one
+#: more class, which is what these leave of the text's length.
 CLASSES = {
+    "lower": "[^a-z]+",
     "upper": "[^A-Z]+",
     "digit": "[^0-9]+",
     "stop": "[^.,;:?\\\\x27\\\\x22()-]+",
@@ -31,6 +32,7 @@ CLASSES = {
     "letter": "[\\\\x00-\\\\x7F]+",
 }
 MIN_CHARS, MIN_WORDS = 200, 40
+LEAST_DOCS, LEAST_WORDS = 3, 300
 MAX_CHAR_DISTANCE = 0.27
 #: Largest word distance, as a share of the one that a text with no common word has: from 100 words on, and for shorter
 #: texts, where a clean one can have few common words by chance.
@@ -50,45 +52,45 @@ def repeated_words(words: str) -> str:
     return let(words, "w", let(hashes, "h", f"if(size(array_distinct(h)) = size(h), 0L, {found})"))
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+def with_counts(docs: DataFrame, text: str = "t") -> DataFrame:
     """Adds the base columns ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``."""
-    text = f"coalesce(cast(`{text}` as string), '')"
     lines = f"filter(split({text}, '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"
-    step = docs.select("*", F.expr(f"array_remove(split({text}, '{BLANK}+'), '')").alias("_words"))
+    step = docs.select("*", F.expr(f"array_remove(split({text}, '{BLANK}+'), '')").alias("words"))
     step = step.select(
         "*",
-        F.expr("cast(size(_words) as bigint)").alias("n_words"),
-        F.expr("cast(char_length(array_join(_words, '')) as bigint)").alias("word_chars"),
+        F.expr("cast(size(words) as bigint)").alias("n_words"),
+        F.expr("cast(char_length(array_join(words, '')) as bigint)").alias("word_chars"),
         F.expr(f"cast(char_length(regexp_replace({text}, '[^#*$%&|<>]+', '')) as bigint)").alias("n_symbols"),
         F.expr(let(lines, "l", "cast(size(l) - size(array_distinct(l)) as bigint)")).alias("n_dup_lines"),
-        F.expr(repeated_words("_words")).alias("n_repeat_words"),
-    ).drop("_words")
+        F.expr(repeated_words("words")).alias("n_repeat_words"),
+    ).drop("words")
     return step.withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
 
 
-def class_counts(text: str = "text") -> str:
-    """SQL text: characters of each class, the last of none of ``CLASSES``, as an array of doubles."""
-    text = f"coalesce(cast(`{text}` as string), '')"
+def class_counts(text: str = "t", blanks: str | None = None) -> str:
+    """SQL text: characters of each class, then blanks and what is of no class, as an array of doubles."""
+    blanks = blanks or f"char_length({text}) - char_length(regexp_replace({text}, '{BLANK}+', ''))"
     parts = [f"char_length(regexp_replace({text}, '{drop}', ''))" for drop in CLASSES.values()]
-    listed = f"transform(array({', '.join(parts)}), x -> cast(x as double))"
+    listed = f"transform(array({', '.join(parts)}, {blanks}), x -> cast(x as double))"
     return let(listed, "a", f"concat(a, array(cast(char_length({text}) as double) - aggregate(a, 0D, (s, x) -> s + x)))")
 
 
-def plain_words(text: str = "text") -> str:
+def plain_words(text: str = "t") -> str:
     """SQL text: lower-cased runs of letters."""
-    return (f"array_remove(split(lower(coalesce(cast(`{text}` as string), '')), '[^\\\\p{{L}}]+'), '')")
+    return f"array_remove(split(lower({text}), '[^\\\\p{{L}}]+'), '')"
 
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[list[float], dict[str, float]]]:
     """Per language: shares of the character classes, and shares of its ``COMMON_WORDS`` most frequent words of at
-    most ``COMMON_LENGTH`` letters, over all documents of the language. Every language of the table has one; a row and ``COMMON_WORDS`` words of each reach the driver."""
-    known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text)
-    width = len(CLASSES) + 1
-    by_class = known.select("lang", F.expr(class_counts(text)).alias("c")).groupBy("lang").agg(F.count("*").alias("docs"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(width)])
-    classes = by_class.orderBy(F.desc("docs"), "lang").collect()
+    most ``COMMON_LENGTH`` letters, over all documents of the language. Every language of the table with ``LEAST_DOCS`` documents and
+    ``LEAST_WORDS`` words has one, so no text is its own reference; a row and ``COMMON_WORDS`` words of each reach the driver."""
+    known = docs.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), as_text(text).alias("t"))
+    width = len(CLASSES) + 2
+    by_class = known.select("lang", F.expr(class_counts()).alias("c")).groupBy("lang").agg(F.count("*").alias("docs"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(width)])
+    classes = by_class.where(F.col("docs") >= LEAST_DOCS).orderBy(F.desc("docs"), "lang").collect()
     if not classes:
         return {}
-    words = known.select("lang", F.explode(F.expr(plain_words(text))).alias("word"))
+    words = known.select("lang", F.explode(F.expr(plain_words())).alias("word"))
     short = F.when(F.char_length("word") <= COMMON_LENGTH, F.col("word"))  # longer words count in the total only
     counts = stored(words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n")))
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
@@ -100,7 +102,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     out = {}
     for r in classes:
         sums = [float(r[f"c{i}"] or 0) for i in range(width)]
-        if sum(sums):
+        if sum(sums) and totals.get(r.lang, 0) >= LEAST_WORDS:
             out[r.lang] = ([x / sum(sums) for x in sums], common.get(r.lang, {}))
     return out
 
@@ -132,11 +134,18 @@ def reference_table(spark: SparkSession, references: dict) -> tuple[DataFrame, l
     return spark.createDataFrame([(rows,)], f"_refs {REFERENCES}"), vocabulary
 
 
+def _occurrences(word: str) -> str:
+    """SQL text: how often ``word`` stands in ``j``, the words that matter, each between blanks of its own."""
+    size = len(word.encode()) + 2
+    return f"cast((octet_length(j) - octet_length(replace(j, ' {word} ', ''))) div {size} as double)"
+
+
 def _distances(vocabulary: list[str], text: str) -> str:
     """SQL text: struct of the distances to the nearest reference in ``_refs`` and whether they are too far."""
     listed = ", ".join(f"'{w}'" for w in vocabulary)
     inside = f"filter(w, x -> x in ({listed}))" if vocabulary else "w"
-    counts = f"transform(array({listed}), v -> cast(size(m) - size(array_remove(m, v)) as double))" if vocabulary else "array(0D)"
+    joined = "concat(' ', array_join(m, '  '), ' ')"
+    counts = let(joined, "j", f"array({', '.join(_occurrences(v) for v in vocabulary)})") if vocabulary else "array(0D)"
     nearest = f"array_min(transform(_refs, r -> {js_distance('p', 'r.classes')}))"
     mine = "concat(transform(r.places, i -> k[i] / greatest(n, 1)), array(1D - aggregate(r.places, 0D, (a, i) -> a + k[i]) / greatest(n, 1)))"
     of_words = f"transform(filter(_refs, r -> r.alone is not null), r -> struct({js_distance(mine, 'r.shares')} as d, r.alone as alone))"
@@ -144,21 +153,21 @@ def _distances(vocabulary: list[str], text: str) -> str:
     far = f"(s >= {MIN_CHARS} and dc > {MAX_CHAR_DISTANCE}D) or (n >= {MIN_WORDS} and coalesce({share}, 0D) > if(n >= {SURE_WORDS}, {MAX_WORD_SHARE}D, {MAX_SHORT_SHARE}D))"
     body = let(of_words, "dws", f"struct(dc as char_distance, array_min(dws.d) as word_distance, {far} as far)")
     body = let("transform(c, x -> x / greatest(s, 1D))", "p", let(nearest, "dc", body))
-    body = let(class_counts(text), "c", let("aggregate(c, 0D, (a, x) -> a + x)", "s", body))
+    body = let(class_counts(text, "n_chars_of_t - word_chars"), "c", let("aggregate(c, 0D, (a, x) -> a + x)", "s", body))
     body = let("cast(size(w) as double)", "n", let(inside, "m", let(counts, "k", body)))
     return let(plain_words(text), "w", body)
 
 
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """All columns with the base columns, ``char_distance`` and ``word_distance`` to the nearest reference, and ``kept``."""
-    made = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"}
-    plain = docs.drop(*[c for c in docs.columns if c.lower() in made])
-    references = language_references(plain, text, lang)
-    counted = with_counts(plain, text)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    own = packed(docs, [*base, "char_distance", "word_distance", "kept"]).alias("own")
+    references = language_references(docs, text, lang)
+    counted = with_counts(docs.select(own, as_text(text).alias("t"))).withColumn("n_chars_of_t", F.char_length("t"))
     if references:
         table, vocabulary = reference_table(docs.sparkSession, references)
-        judged = counted.crossJoin(F.broadcast(table)).withColumn("_d", F.expr(_distances(vocabulary, text))).drop("_refs")
+        judged = counted.crossJoin(F.broadcast(table)).withColumn("d", F.expr(_distances(vocabulary, "t")))
     else:
         none = "struct(cast(null as double) as char_distance, cast(null as double) as word_distance, false as far)"
-        judged = counted.withColumn("_d", F.expr(none))
-    return judged.select("*", "_d.char_distance", "_d.word_distance", F.expr("not base_failed and not _d.far").alias("kept")).drop("_d")
+        judged = counted.withColumn("d", F.expr(none))
+    return judged.select(*unpacked(judged, "own"), *base, "d.char_distance", "d.word_distance", F.expr("not base_failed and not d.far").alias("kept"))
