@@ -26,6 +26,8 @@ from .common import as_text, passed, row_blocks, stored, utf8
 WIDTH, FILTERS = 6, 24
 SEGMENT, CHUNK_SEGMENTS, STEP_SEGMENTS = 16, 16, 15
 CHUNK = SEGMENT * CHUNK_SEGMENTS
+#: chunks that training holds in full at a time
+TRAIN_BLOCK = 2048
 
 
 @dataclass(frozen=True)
@@ -79,14 +81,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def training_chunks(texts: list[bytes], train_chunks: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Chunks [n, CHUNK + WIDTH] of the texts, at most ``train_chunks`` of each spread over all of it, and their text's index."""
+def training_chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All chunks [n, CHUNK + WIDTH] of the texts, and their text's index."""
     rows, owner = [], []
     for i, text in enumerate(texts):
         raw = np.frombuffer(text, np.uint8)
         starts = np.arange(0, max(1, len(raw) - CHUNK + STEP_SEGMENTS * SEGMENT), STEP_SEGMENTS * SEGMENT)
-        if len(starts) > train_chunks:
-            starts = np.sort(rng.choice(starts, train_chunks, replace=False))
         for s in starts:
             row = np.zeros(CHUNK + WIDTH, np.uint8)
             piece = raw[s : s + CHUNK + WIDTH]
@@ -96,7 +96,7 @@ def training_chunks(texts: list[bytes], train_chunks: int, rng: np.random.Genera
     return np.array(rows, np.uint8).reshape(-1, CHUNK + WIDTH), np.array(owner, np.int64)
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 14, batch: int = 48, rate: float = 0.01, train_chunks: int = 6, seed: int = 7, least_steps: int = 300) -> ConvNet:
+def fit(texts: list[bytes], labels: list[int], epochs: int = 14, batch: int = 48, rate: float = 0.01, seed: int = 7, least_steps: int = 300) -> ConvNet:
     """Adam on the log loss of whole documents; classes weigh the same. Few documents are seen more often, for ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
     p = {
@@ -109,7 +109,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 14, batch: int = 48
     if len(set(labels)) > 1:
         weight = np.where(y > 0, 0.5 / max(1e-6, y.mean()), 0.5 / max(1e-6, 1 - y.mean()))
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
-        x, owner = training_chunks(texts, train_chunks, rng)
+        x, owner = training_chunks(texts)
         of = [np.flatnonzero(owner == i) for i in range(len(texts))] if len(texts) < 300 else np.split(np.arange(len(owner)), np.searchsorted(owner, np.arange(1, len(texts))))
         step = 0
         for _ in range(max(epochs, -(-least_steps // -(-len(texts) // batch)))):
@@ -135,12 +135,16 @@ def _gradients(p: dict, x: np.ndarray, chunks_of: list[np.ndarray], y: np.ndarra
     counts = np.array([len(c) for c in chunks_of])
     document = np.repeat(np.arange(len(counts)), counts)
     begins = np.cumsum(counts) - counts
-    pieces = x[rows]
-    total = p["tables"][0][pieces[:, :CHUNK]]
-    for j in range(1, WIDTH):
-        total += p["tables"][j][pieces[:, j : j + CHUNK]]
-    place = total.argmax(axis=1)
-    chunk_max = np.take_along_axis(total, place[:, None, :], axis=1)[:, 0, :] + p["bias"]
+    place, chunk_max = np.empty((len(rows), FILTERS), np.int64), np.empty((len(rows), FILTERS), np.float32)
+    for at in range(0, len(rows), TRAIN_BLOCK):  # a long text has very many chunks
+        pieces = x[rows[at : at + TRAIN_BLOCK]]
+        total = p["tables"][0][pieces[:, :CHUNK]]
+        for j in range(1, WIDTH):
+            total += p["tables"][j][pieces[:, j : j + CHUNK]]
+        best = total.argmax(axis=1)
+        place[at : at + TRAIN_BLOCK] = best
+        chunk_max[at : at + TRAIN_BLOCK] = np.take_along_axis(total, best[:, None, :], axis=1)[:, 0, :]
+    chunk_max += p["bias"]
     active = np.maximum(chunk_max, 0)
     mean = np.add.reduceat(active, begins, axis=0) / counts[:, None]
     top = np.maximum.reduceat(active, begins, axis=0)
@@ -152,9 +156,9 @@ def _gradients(p: dict, x: np.ndarray, chunks_of: list[np.ndarray], y: np.ndarra
     back = np.where(chunk_max > 0, back, 0).astype(np.float32)
     tables = np.zeros_like(p["tables"])
     column = np.arange(FILTERS)[None, :]
-    line = np.arange(len(rows))[:, None]
+    line = rows[:, None]
     for j in range(WIDTH):
-        np.add.at(tables[j], (pieces[line, place + j], column), back)
+        np.add.at(tables[j], (x[line, place + j], column), back)
     return {
         "tables": tables + 1e-4 * p["tables"],
         "bias": back.sum(axis=0),
