@@ -105,8 +105,9 @@ def _cell(gates: np.ndarray, h: np.ndarray, recur: np.ndarray) -> np.ndarray:
     return mixed
 
 
-def fit(texts: list[bytes], langs: list[str], epochs: int = 12, batch: int = 128, rate: float = 0.02, train_sequences: int = 4, seed: int = 5) -> BiGru:
-    """Texts shorter than ``STEPS`` bytes are learned from as one shorter sequence."""
+def fit(texts: list[bytes], langs: list[str], epochs: int = 3, batch: int = 128, rate: float = 0.02, seed: int = 5, least_steps: int = 450) -> BiGru:
+    """All sequences of ``STEPS`` bytes of every text are learned from; a shorter text is one shorter sequence. Few sequences are
+    seen more often, for ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
     languages = tuple(sorted(set(langs)))
     k, number = len(languages), {lang: i for i, lang in enumerate(languages)}
@@ -122,8 +123,6 @@ def fit(texts: list[bytes], langs: list[str], epochs: int = 12, batch: int = 128
         for text, lang in zip(texts, langs):
             raw = np.frombuffer(text, np.uint8)
             starts = np.arange(0, max(1, len(raw) - STEPS + 1), STEPS) if len(raw) else ()
-            if len(starts) > train_sequences:
-                starts = rng.choice(starts, train_sequences, replace=False)
             for s in starts:
                 piece = raw[s : s + STEPS]
                 rows.append(np.pad(piece, (0, STEPS - len(piece))))
@@ -133,7 +132,7 @@ def fit(texts: list[bytes], langs: list[str], epochs: int = 12, batch: int = 128
         weight = (1 / np.maximum(1, np.bincount(y, minlength=k)))[y] if len(y) else np.zeros(0)
         moments = {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()}
         step = 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-least_steps // max(1, -(-len(x) // batch))))):
             order = rng.permutation(len(x))
             for at in range(0, len(order), batch):
                 pick = order[at : at + batch]
@@ -201,16 +200,12 @@ def _through_time(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray, siz
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text ``most`` whole sequences, chosen by its hash; a shorter text is one."""
+    """All whole sequences of each text; a shorter text is one."""
     for batch in batches:
         data, offsets = utf8(batch, "text")
-        most = batch.column(batch.schema.get_field_index("most")).to_numpy()
-        hashes = batch.column(batch.schema.get_field_index("_h")).to_numpy()
         row, piece = [], []
         for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
             starts = np.arange(0, max(1, b - a - STEPS + 1), STEPS)
-            if len(starts) > most[i]:
-                starts = np.sort(np.random.default_rng(int(hashes[i]) & (2**63 - 1)).choice(starts, int(most[i]), replace=False))
             for s in starts.tolist():
                 row.append(i)
                 piece.append(data[a + s : min(b, a + s + STEPS)].tobytes())
@@ -218,9 +213,9 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(piece, pa.binary())], ["doc_id", "lang", "_h", "piece"])
 
 
-def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, train_sequences: int = 4, **options) -> BiGru:
+def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, **options) -> BiGru:
     """Fit on at most ``per_lang`` documents of every language, the first by hash of their id among the ``usable``
-    rows. Only those rows' texts and languages are read, and ``train_sequences`` sequences of each reach the driver."""
+    rows. Only those rows' texts and languages are read, and all their whole sequences reach the driver."""
     rows = docs.where(usable & F.col("lang").isNotNull()).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     # ids only are ranked, in two steps so that no task meets a whole language; the chosen rows' texts follow by id
     ranked = rows.where(F.octet_length("text") > 0).withColumn("_h", F.xxhash64("text"))
@@ -231,7 +226,7 @@ def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, train_
     chosen = broadcast_under(stored(keys.select("doc_id", "lang", "_h")), 100_000)
     # a null id is in the table only once
     same = ranked["doc_id"].eqNullSafe(chosen["doc_id"]) & (ranked["lang"] == chosen["lang"]) & (ranked["_h"] == chosen["_h"])
-    texts = ranked.join(chosen, same, "left_semi").groupBy("doc_id", "lang", "_h").agg(F.min("text").alias("text")).withColumn("most", F.lit(train_sequences))
+    texts = ranked.join(chosen, same, "left_semi").groupBy("doc_id", "lang", "_h").agg(F.min("text").alias("text"))
     sample = texts.mapInArrow(_pieces, "doc_id string, lang string, _h bigint, piece binary").collect()
     sample.sort(key=lambda r: (r.lang, str(r.doc_id), r._h, bytes(r.piece)))
     return fit([bytes(r.piece) for r in sample], [r.lang for r in sample], **options)
