@@ -15,9 +15,10 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackstrata.session import new_folder
@@ -25,6 +26,8 @@ from trackstrata.session import new_folder
 from .common import BLOCK_BYTES
 
 VERSION, BREAK = "WARC/1.1", "\r\n"
+#: fixed value: the profile of records that only name an equal payload
+REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_BYTES = 100
 
 
@@ -71,13 +74,20 @@ def _payloads(stored: DataFrame, with_payload: bool) -> DataFrame:
     return stored.select("digest", "payload").mapInArrow(run, schema)
 
 
-def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = LEAST_BYTES) -> None:
-    """Writes ``folder/payloads`` (digest, payload) and ``folder/headers`` (digest, header)."""
+def _encoded(value: Column | str) -> Column:
+    """Any id as text that stands in a header line; ``url_decode`` gives it back."""
+    return F.coalesce(F.url_encode(value), F.lit(""))
+
+
+def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = LEAST_BYTES, date: str | None = None) -> None:
+    """Writes ``folder/payloads`` (digest, payload) and ``folder/headers`` (digest, header). ``date`` (UTC, ``yyyy-MM-ddTHH:mm:ssZ``)
+    is the records' date, now by default. Record ids are unique also for pages of equal or null ids."""
+    date = date or f"{datetime.now(timezone.utc):%Y-%m-%dT%H:%M:%SZ}"
     spark = pages.sparkSession
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(key).cast("string").alias("id"), F.col(key).alias("number"), F.col(url).cast("string").alias("url"), body.alias("payload"))
     digested = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload"))
-    light = digested.withColumn("second", F.xxhash64("payload")).drop("payload")
+    light = digested.withColumn("second", F.xxhash64("payload")).drop("payload").withColumn("record", F.hex(F.monotonically_increasing_id()))
     # one short row a digest; hot payloads are summed up before the shuffle
     known = light.groupBy("digest").agg(F.min("number").alias("first"), F.min("second").alias("low"), F.max("second").alias("high"), F.min("size").alias("small"), F.max("size").alias("large"))
     checked = known.select(
@@ -91,10 +101,12 @@ def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str
     lines = [
         F.lit(VERSION),
         F.concat(F.lit("WARC-Type: "), kind),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.coalesce("id", F.lit("")), F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: <urn:page:"), _encoded("id"), F.lit(":"), F.col("record"), F.lit(">")),
+        F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", "[\\r\\n]+", " ")),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), "digest"),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("first").cast("string"), F.lit(">"))),
+        F.when(revisit, F.lit(f"WARC-Profile: {REVISIT}")),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), _encoded(F.col("first").cast("string")), F.lit(">"))),
         F.concat(F.lit("X-Payload-Length: "), F.col("size").cast("string")),
         F.concat(F.lit("Content-Length: "), F.when(revisit, "0").otherwise(F.col("size").cast("string"))),
     ]
@@ -119,9 +131,9 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
         "digest",
         "header",
         field("WARC-Type").alias("record_type"),
-        field("WARC-Record-ID", "<urn:page:([^>\\r\\n]*)>").alias("id"),
+        F.url_decode(field("WARC-Record-ID", "<urn:page:([^:>]*):[^>]*>")).alias("id"),
         field("WARC-Target-URI").alias("url"),
-        field("WARC-Refers-To", "<urn:page:([^>\\r\\n]*)>").alias("refers_to"),
+        F.url_decode(field("WARC-Refers-To", "<urn:page:([^>]*)>")).alias("refers_to"),
         field("X-Payload-Length").cast("bigint").alias("size"),
     )
 
