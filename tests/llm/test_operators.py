@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from crosscheck.compare import difference, duck
 from trackstrata.llm import classifier, decontaminate, language_id, licenses, near_dup, packing, pii, quality_rules, url_filter, warc
+from trackstrata.llm.common import stored
 from trackstrata.llm.queries import ORACLE, QUERIES, tokenizer_path
 
 from ..conftest import SMALL
@@ -244,6 +245,54 @@ def test_pii_bootstraps_unseen_identifiers(spark):
     assert all(found[i].n_found == 0 for i in range(30))
 
 
+def test_pii_finds_handles_and_leaves_prose(spark):
+    rows = [(i, f"please call user{i}@mail.example.com today") for i in range(30)]
+    rows += [(40, "please call bobsmithhandle today"), (41, "so (please call: bobsmithhandle, today)")]
+    rows += [(50 + i, f"see chapter {i} of the licence, version 3. of {w} and call your mother") for i, w in enumerate(["it", "them", "us", "all", "these"])]
+    rows += [(60 + i, f"{w} token = zz{i}f{i}9{i}99 {w} said so") for i, w in enumerate(["one", "two", "three", "four"])]
+    found = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[40].spans == "id:12:26" and found[41].n_found == 1
+    assert all(found[i].n_found == 0 for i in range(30)) and all(found[50 + i].n_found == 0 for i in range(5))
+    # an everyday word in the slot takes the pattern's confidence
+    rows += [(100 + i, f"please call {w} today") for i, w in enumerate(["me", "her", "them", "us", "home", "again"] * 6)]
+    found = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(found[i].n_found == 0 for i in (40, 41, *range(100, 136)))
+
+
+def pii_scores_plainly(found):
+    """Known names after each round, by plain loops over the occurrences (name, seed, affix, left, right)."""
+    contexts = {(p + v, n, s, o) for n, s, a, l, r in found for p, v, o in (("L:", l, r), ("R:", r, l), ("P:", a, f"{l} {r}")) if v}
+    known = set()
+    for _ in range(pii.ROUNDS):
+        total, sure, names = collections.Counter(), collections.Counter(), collections.defaultdict(set)
+        own, own_sure, seeds = collections.Counter(), collections.Counter(), {n for _, n, s, _ in contexts if s}
+        for p, n, s, _ in contexts:
+            total[p] += 1
+            own[p, n] += 1
+            names[p].add(n)
+            sure[p] += n in seeds | known
+            own_sure[p, n] += n in seeds | known
+        heard = collections.defaultdict(list)
+        for (p, n), k in own.items():
+            if n in seeds or total[p] < pii.MIN_SUPPORT:
+                continue
+            trust = (sure[p] - own_sure[p, n]) / (total[p] - k + 1)
+            if trust >= pii.NO_DOUBT or len(names[p]) < pii.OPEN_CLASS * total[p]:
+                heard[n].append((trust, k))
+        known = {n for n, h in heard.items() if sum(t * k for t, k in h) / sum(k for _, k in h) >= pii.MIN_SCORE and max(h)[0] >= pii.MIN_CONFIDENCE}
+    return known
+
+
+def test_pii_graph_scores_against_plain_loops(spark):
+    rng = random.Random(11)
+    words = list("abcdefgh")
+    names = {f"{rng.choice(['x', 'yy', '', 'zzzz'])}{i}": i % 4 > 0 for i in range(60)}
+    found = [(n, s, re.match(r"^[^0-9]{0,4}", n)[0], rng.choice(words), rng.choice(words + [""])) for n, s in names.items() for _ in range(rng.randint(1, 6))]
+    got, _ = pii.bootstrap(spark.createDataFrame(found, "name string, seed boolean, affix string, left string, right string"))
+    expected = pii_scores_plainly(found)
+    assert expected and {r.name for r in got.collect()} == expected
+
+
 def test_pii_awkward_and_masked(spark, awkward, empty):
     found = pii.find_pii(awkward)
     masked = {r.doc_id: r.t for r in found.select("doc_id", pii.masked(found).alias("t")).collect()}
@@ -483,7 +532,7 @@ def test_pipeline_stages(spark, connection):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept, before = docs, docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        kept = corpus_pipeline.stored(stage(spark, kept, SMALL))
+        kept = stored(stage(spark, kept, SMALL))
         assert kept.columns == docs.columns, name
         if name == "near_duplicates":
             assert kept.select("text").distinct().count() == kept.count() < before
