@@ -547,3 +547,97 @@ def test_pipeline_stages_awkward(spark, awkward, empty):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() > 0, name
         assert stage(spark, docs.where("false"), SMALL).count() == 0, name
+
+
+INTERNAL = (
+    "_words _refs _bytes _letters _t _inst _id _email _hits _items terms positions _body _dir _notice _path n _key _bands chosen _d _text _row _base kept "
+    "columns_of_the_caller own t k1 k2 ids base more _url host cls best row uid sig c words d n_chars_of_t _near _h score spans hits text2"
+).split()
+
+
+def test_columns_named_like_internal_ones_pass_through(spark):
+    words = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, f"{words} the {i} mail user{i}@mail.example.com now", "en", f"https://h{i}.example.org/en/{i}", f"src/a{i}.txt") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, url string, path string").withColumns({c: F.lit(f"mine {c}") for c in INTERNAL})
+    net = classifier.fit([b"good text", b"bad"], [1, 0], epochs=1, least_steps=1)
+    gru = language_id.fit([b"some text here", b"ein text da"], ["en", "de"], epochs=1, least_steps=1)
+    items = spark.createDataFrame([(1, words)], "item_id bigint, text string")
+    results = {
+        "op1": quality_rules.divergence(docs),
+        "op2": url_filter.filter_urls(docs, url_filter.domain_rules("org", "/", "block")),
+        "op3": language_id.predict_languages(docs, gru),
+        "op4": pii.find_pii(docs),
+        "op5": decontaminate.decontaminate(docs, items),
+        "op5 blocks": decontaminate.decontaminate(docs, items.unionByName(items.withColumn("item_id", F.lit(2).cast("bigint"))), block_words=20),
+        "op7": licenses.scan_licenses(docs),
+        "op8": classifier.score_quality(docs, net),
+        "op9": near_dup.near_duplicates(docs),
+    }
+    for name, result in results.items():
+        assert len(set(result.columns)) == len(result.columns), name
+        found = result.collect()
+        assert sorted(r.doc_id for r in found) == list(range(6)), name
+        made = set(result.columns) - set(docs.columns)
+        kept = [c for c in INTERNAL if c in result.columns and c not in {"host", "score", "spans", "hits", "kept"}]
+        assert len(kept) >= len(INTERNAL) - 5 and made, name
+        assert all(r[c] == f"mine {c}" for r in found for c in kept), name
+        assert all(r.text == rows[r.doc_id][1] for r in found), name
+
+
+def test_decontaminate_blocks_end_inside_an_id(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choices([f"w{i}" for i in range(300)], k=n))
+    items = [(None, text(14)) for _ in range(6)] + [(7, text(12)) for _ in range(6)]
+    docs = [(i, f"{text(8)} {items[i % 12][1] if i % 2 else ''} {text(8)}") for i in range(24)]
+    frame, asked = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    whole, cut = (sorted(tuple(r) for r in decontaminate.decontaminate(frame, asked, block_words=size).select(*columns).collect()) for size in (10**6, 20))
+    assert whole == cut and {r[0] for r in whole if r[5]} == {i for i in range(24) if i % 2}
+
+
+def test_language_probabilities_against_a_plain_loop(spark):
+    """The network that scores many documents at once, against one GRU step after the other."""
+    gru = language_id.fit([b"the quick brown fox", "der schnelle Fuchs läuft".encode(), b"el zorro salta"], ["en", "de", "es"], epochs=2, least_steps=4)
+    texts = [b"a", b"the fox jumps over it", ("läuft und " * 40).encode(), bytes(range(256))]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = gru.document_probabilities(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for text, probability in zip(texts, got):
+        sums, states = np.zeros(3), []
+        for at in range(0, len(text), language_id.STEPS):
+            piece = text[at : at + language_id.STEPS]
+            H = gru.recur[0].shape[0] if gru.recur[0].shape[0] * 3 == gru.recur[0].shape[1] else gru.recur[0].shape[1]
+            ways = []
+            for way in (0, 1):
+                embed, recur = gru.embed[way].astype(float), gru.recur[way].astype(float)
+                recur = recur if recur.shape[0] == H else recur.T
+                h, out = np.zeros(H), {}
+                for t in range(len(piece)) if way == 0 else range(len(piece) - 1, -1, -1):
+                    g, back = embed[piece[t]], h @ recur
+                    z, r = (sigmoid(2 * (g[i * H : (i + 1) * H] + back[i * H : (i + 1) * H])) for i in (0, 1))
+                    new = np.tanh(g[2 * H :] + r * back[2 * H :])
+                    h = new + z * (h - new)
+                    out[t] = h
+                ways.append(out)
+            for t in range(len(piece)):
+                e = np.concatenate([ways[0][t], ways[1][t]]) @ gru.out.reshape(2 * H, 3) + gru.out_bias
+                e = np.exp(e - e.max())
+                sums += e / e.sum()
+        assert probability == pytest.approx(sums / len(text), abs=2e-3)
+
+
+def test_classifier_scores_against_a_plain_convolution():
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(b"abc xyz", k=rng.randint(1, 900))) for _ in range(12)] + [b""]
+    net = classifier.fit(texts, [i % 2 for i in range(13)], epochs=2, least_steps=3)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = net.scores(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    for text, score in zip(texts, got):
+        data = np.concatenate([np.frombuffer(text, np.uint8), np.zeros(classifier.CHUNK + classifier.WIDTH, np.uint8)])
+        step, chunks = classifier.STEP_SEGMENTS * classifier.SEGMENT, []
+        for s in range(0, max(1, len(text) - classifier.CHUNK + step), step):
+            total = np.array([sum(net.tables[j][data[s + i + j]] if s + i + j < len(data) else net.tables[j][0] for j in range(classifier.WIDTH)) for i in range(classifier.CHUNK)])
+            chunks.append(np.maximum(total.max(axis=0) + net.bias, 0))
+        features = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)])
+        plain = 1 / (1 + np.exp(-(features @ net.out + net.out_bias)))
+        assert score == pytest.approx(plain, abs=1e-3)

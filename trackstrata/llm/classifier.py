@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, passed, row_blocks, stored, utf8
+from .common import OWN, as_text, passed, row_blocks, shielded, stored, utf8
 
 WIDTH, FILTERS = 6, 24
 SEGMENT, CHUNK_SEGMENTS, STEP_SEGMENTS = 16, 16, 15
@@ -182,9 +182,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, usable: Column, per_class:
 
 def score_quality(docs: DataFrame, model: ConvNet, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """All rows and columns with ``score`` and ``predicted`` (1 if ``score >= threshold``)."""
+    return shielded(docs, [text], ["score", "predicted"], None, lambda own: _scored(own.select(F.col(f"`{text}`").alias("text"), OWN), model, threshold))
+
+
+def _scored(docs: DataFrame, model: ConvNet, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    schema = passed(docs, "score double, predicted int")
+    schema = passed(docs.drop("text"), "score double, predicted int")
     kept = [f.name for f in schema][:-2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,4 +201,4 @@ def score_quality(docs: DataFrame, model: ConvNet, text: str = "text", threshold
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*kept, "score", "predicted"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept], as_text(text).alias("_bytes")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept], as_text("text").alias("_bytes")).mapInArrow(run, schema)

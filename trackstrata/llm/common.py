@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,16 @@ def unpacked(df: DataFrame, struct: str) -> list[Column]:
     return [F.col(struct).getField(f.name).alias(f.name) for f in df.schema[struct].dataType if f.name != "_none"]
 
 
+OWN = "columns_of_the_caller"
+
+
+def shielded(df: DataFrame, needs: list[str], outputs: list[str], keep: list[str] | None, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The caller's columns ``keep`` and the ``outputs`` of ``operator``, which gets the columns it ``needs`` and, in the one column
+    ``OWN``, the caller's: whatever these are called, they meet no name of the operator's."""
+    done = operator(df.select(*[F.col(_quoted(c)).alias(c) for c in dict.fromkeys(needs)], packed(df, outputs, keep).alias(OWN)))
+    return done.select(*unpacked(done, OWN), *outputs)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

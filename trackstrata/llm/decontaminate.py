@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_text, row_blocks, stored, utf8
+from .common import OWN, as_text, row_blocks, shielded, stored, utf8
 
 WORDS, SLACK = 10, 5
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 #: lower-cases A-Z, and turns all other ASCII that is no letter or digit into blanks
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -62,14 +62,13 @@ class TestBlock:
 
 def test_blocks(items: DataFrame, length: int = WORDS, block_words: int = BLOCK_WORDS) -> Iterator[TestBlock]:
     """The items, streamed through the driver, one bounded block at a time. At least one block, perhaps empty."""
-    block, previous = TestBlock(), None
+    block = TestBlock()
     ordered = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), as_text("text").alias("t")).orderBy("i", "t")
     for row in ordered.toLocalIterator():
-        if block.words >= block_words and row.i != previous:
+        if block.words >= block_words:  # an item may go on in the next block: its hits are united by document
             yield block
             block = TestBlock()
         block.add(row.i, row.t.encode(), length)
-        previous = row.i
     yield block
 
 
@@ -212,8 +211,12 @@ def _search_table(index: DataFrame, search: Search) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, keep: list[str] | None = None, length: int = WORDS, slack: int = SLACK, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Columns ``keep`` (all by default) with ``n_words, n_hit, hits`` (word positions), ``n_items, items, n_near_items, items_sha256, contaminated``."""
-    outputs = {"n_words", "n_hit", "hits", "n_items", "items", "n_near_items", "items_sha256", "contaminated"}
-    keep = [c for c in (keep or docs.columns) if c.lower() not in outputs]
+    outputs = ["n_words", "n_hit", "hits", "n_items", "items", "n_near_items", "items_sha256", "contaminated"]
+    return shielded(docs, ["text"], outputs, keep, lambda own: _decontaminated(own, items, length, slack, block_words))
+
+
+def _decontaminated(docs: DataFrame, items: DataFrame, length: int, slack: int, block_words: int) -> DataFrame:
+    keep = [OWN]
     current, blocks = docs, iter(test_blocks(items, length, block_words))
     block = next(blocks)
     state: list[str] = []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, broadcast_under, passed, row_blocks, stored, utf8
+from .common import OWN, as_text, broadcast_under, passed, row_blocks, shielded, stored, utf8
 
 HIDDEN, STEPS = 8, 96
 SALTS = 16
@@ -234,8 +234,12 @@ def train_languages(docs: DataFrame, usable: Column, per_lang: int = 300, **opti
 
 def predict_languages(docs: DataFrame, model: BiGru, text: str = "text") -> DataFrame:
     """All rows and columns with ``lang_pred`` and ``score``."""
+    return shielded(docs, [text], ["lang_pred", "score"], None, lambda own: _predicted(own.select(F.col(f"`{text}`").alias("text"), OWN), model))
+
+
+def _predicted(docs: DataFrame, model: BiGru) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = passed(docs, "lang_pred string, score double")
+    schema = passed(docs.drop("text"), "lang_pred string, score double")
     kept = [f.name for f in schema][:-2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,5 +256,5 @@ def predict_languages(docs: DataFrame, model: BiGru, text: str = "text") -> Data
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(names[best]), pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
 
-    letters = F.coalesce(F.col(text).cast("string").rlike(r"\p{L}"), F.lit(False))
-    return docs.select(*[F.col(f"`{c}`") for c in kept], as_text(text).alias("_bytes"), letters.alias("_letters")).mapInArrow(run, schema)
+    letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    return docs.select(*[F.col(f"`{c}`") for c in kept], as_text("text").alias("_bytes"), letters.alias("_letters")).mapInArrow(run, schema)

@@ -18,7 +18,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import OWN, shielded, stored
 
 THRESHOLD = 0.55
 #: Long texts share their everyday words: a template of so many words counts from a higher cosine on. The whole text of the
@@ -113,9 +113,12 @@ def _scores(notices: DataFrame, templates: dict[str, str | list[str]], threshold
 def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str | list[str]] | None = None, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all by default) with ``own_license, own_score, license, inherited_from`` (path of the licence file), ``distance`` (directories up, null without inheritance)."""
     templates = all_templates() if templates is None else templates
-    outputs = {"own_license", "own_score", "license", "inherited_from", "distance"}
-    keep = [c for c in (keep or files.columns) if c.lower() not in outputs]
-    carried = [F.col(f"`{c}`") for c in keep]
+    outputs = ["own_license", "own_score", "license", "inherited_from", "distance"]
+    return shielded(files, [path, text], outputs, keep, lambda own: _scanned(own, path, text, templates, threshold))
+
+
+def _scanned(files: DataFrame, path: str, text: str, templates: dict[str, str | list[str]], threshold: float) -> DataFrame:
+    carried = [F.col(OWN)]
     notice = F.col("_body")
     rows = files.select(*carried, F.col(path).alias("_path"), notice_of(path, text).alias("_body"))
     digest = F.when(notice != "", F.sha2(notice.cast("binary"), 256))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import passed, row_blocks, utf8
+from .common import passed, row_blocks, shielded, utf8
 
 _BIT = np.uint64(1)
 
@@ -117,9 +117,12 @@ def canonical(urls: DataFrame, url: str = "url") -> DataFrame:
 
 def filter_urls(urls: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """All columns with ``host``, ``path``, ``rule`` (name of the winning rule, or null) and ``verdict``."""
+    return shielded(urls, [url], ["host", "path", "rule", "verdict"], None, lambda own: _judged(own, rules, url))
+
+
+def _judged(urls: DataFrame, rules: list[Rule], url: str) -> DataFrame:
     automaton = urls.sparkSession.sparkContext.broadcast(GlobAutomaton(rules))
-    plain = urls.drop(*[c for c in urls.columns if c.lower() in ("host", "path", "rule", "verdict")])
-    source = canonical(plain, url)
+    source = canonical(urls.withColumnRenamed(url, "_url"), "_url").drop("_url")
     schema = passed(source, "rule string, verdict string")
     kept = [f.name for f in schema][:-2]
 
