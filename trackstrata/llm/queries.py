@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import classifier, conversations, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, ranked_search, url_filter, warc
 from .common import crc_fold
+from .repair_sql import REPAIR
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -219,4 +220,5 @@ item_terms as (
 )
 select item_id, rank, doc_id, score from ranked where rank <= 50
 """,
+    "op12_conversation_repair": REPAIR,
 }
