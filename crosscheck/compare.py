@@ -9,7 +9,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
-from trackstrata.session import get_spark
+from trackstrata.session import get_spark, holding
 
 
 def local_spark(cpus: int = 8) -> SparkSession:
@@ -70,10 +70,11 @@ def main(arguments: list[str]) -> int:
     for name in names:
         begun = time.time()
         try:
-            if name not in ORACLE:
-                problem = None if QUERIES[name](spark, sf_dir).count() else "no rows"
-            else:
-                problem = difference(QUERIES[name](spark, sf_dir), connection, ORACLE[name])
+            with holding(spark):
+                if name not in ORACLE:
+                    problem = None if QUERIES[name](spark, sf_dir).count() else "no rows"
+                else:
+                    problem = difference(QUERIES[name](spark, sf_dir), connection, ORACLE[name])
         except Exception as error:  # report and go on with the other queries
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failures += problem is not None

@@ -49,16 +49,18 @@ def _large_sample(
 ) -> DataFrame:
     """The same rows for an ``n`` above the group-limit threshold, with one pass over ``df``.
 
-    Strata are dealt into so many sub-strata, by digits of the hash that do not order it, that each is expected to hold a
+    Strata are dealt into so many sub-strata, by a hash that does not follow the order, that each is expected to hold a
     fraction of the threshold of the ``n`` rows sought. The group limit then works on them, and what is left,
     about ``n`` rows a stratum, is held. A sub-stratum that was cut although the sample reaches beyond its last row
     would lose rows: that is checked, and the cells of the whole table are taken then."""
     limit = group_limit(df)
     share = math.ceil(n / (limit * _FILL))
     hashed = df.withColumn("_priority", sample_priority(seed, salt, keys))
-    hashed = hashed.withColumn("_deal", F.pmod(F.conv(F.substring("_priority", 21, 12), 16, 10).cast("bigint"), F.lit(share)))
-    place = F.row_number().over(Window.partitionBy(*strata, "_deal").orderBy("_priority", *keys))
-    kept = hold(hashed.withColumn("_place", place).where(F.col("_place") <= limit))
+    # numbers are sorted faster than texts; two strata of one number would only be cut too early, which is seen below
+    group = F.xxhash64(*strata, F.pmod(F.xxhash64("_priority", F.lit("deal")), F.lit(share)))
+    hashed = hashed.withColumn("_group", group)
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_priority", *keys))
+    kept = hold(hashed.withColumn("_place", place).where(F.col("_place") <= limit).drop("_group"))
     if share * limit <= _FEW_KEPT:
         rank = F.row_number().over(Window.partitionBy(*strata).orderBy("_priority", *keys))
         sample = kept.withColumn("_rank", rank).where(F.col("_rank") <= n)
