@@ -27,7 +27,7 @@ from .common import row_blocks, stored
 
 WINDOW, END_ID = 4096, 2
 GROUP_SIZE = 4096
-CACHED_WORDS, CACHED_IDS, LONG_TEXT = 1_200_000, 1 << 23, 1 << 20
+CACHED_WORDS, CACHED_IDS, LONG_TEXT = 700_000, 1 << 22, 1 << 20
 MARKS = frozenset(".,;:?!")
 
 
