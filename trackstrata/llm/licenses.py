@@ -18,7 +18,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, shielded, stored
+from .common import OWN, broadcast_under, shielded, stored
 
 THRESHOLD = 0.55
 #: Long texts share their everyday words: a template of so many words counts from a higher cosine on. The whole text of the
@@ -132,6 +132,8 @@ def _scanned(files: DataFrame, path: str, text: str, templates: dict[str, str |
     up = F.expr("transform(sequence(0, size(split(_dir, '/')) - 1), u -> struct(u as distance, array_join(slice(split(_dir, '/'), 1, size(split(_dir, '/')) - u), '/') as above))")
     ancestors = directories.select("_dir", F.explode(up).alias("a")).select("_dir", "a.distance", "a.above")
     nearest = ancestors.join(in_dir.withColumnRenamed("_dir", "above"), "above").groupBy("_dir").agg(F.min(F.struct("distance", "d")).alias("n"))
+    # one short row a directory that inherits: unless they are very many, the files of a full directory need not meet in one task
+    nearest = broadcast_under(stored(nearest), 200_000)
     own = F.col("own_license").isNotNull()
     out = rows.join(found, "_notice", "left").join(nearest, "_dir", "left")
     return out.select(
