@@ -229,6 +229,8 @@ def test_site_template_without_telling_markup(spark):
     rows += [site(10, menu % 1 + f"<div><p>{body[0]} other</p></div>", "alone.example")]
     got = texts(spark, rows)
     assert all(got[n] == body[n] for n in range(6))
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {(r.n_template, r.n_markup) for r in html_text.main_text(frame).where("page_id < 6").collect()} == {(2, 0)}
     assert got[10] == f"Home Shop {body[0]} other"  # one page of a host is no template
 
 
@@ -261,7 +263,7 @@ def test_main_text_awkward(spark):
     rows = [(1, None, None), (2, "", ""), (3, "x", "no markup &lt;here&gt; < 5 > 4"), (3, "x", "no markup &lt;here&gt; < 5 > 4"), (None, "https://h/", "<p>a<p>b"), (5, "https://h/", "<div>" * 3000 + "deep" + " &#x1F600;" * 50_000), (6, "https://h/", "<a " * 20_000), (7, "https://h/", "<script>never closed <p>x")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({c: F.lit("clash") for c in ("text", "row", "runs", "kept", "site", "keys", "n_chars")})
     got = html_text.main_text(frame)
-    assert got.columns == ["page_id", "url", "html", "row", "runs", "kept", "site", "keys", "text", "n_chars", "n_template"]
+    assert got.columns == ["page_id", "url", "html", "row", "runs", "kept", "site", "keys", "text", "n_chars", "n_template", "n_markup"]
     found = {(r.page_id, r.html): r for r in got.collect()}
     assert len(got.collect()) == 8 and all(r.runs == "clash" for r in found.values())
     by_id = {k[0]: r.text for k, r in found.items()}

@@ -8,7 +8,7 @@ articles are also repeated: a paragraph or heading, or anything inside the artic
 ``article_pages`` pages that are not all copies and on ``article_share`` of the host's pages, and only as long as all such cuts
 leave at least half of the page's article; a subtree with more than half of a page's text never is one.
 
-What a site shows on too few pages to be counted is told by its markup: the article is what the page's ``article`` elements
+After that, what a site shows on too few pages to be counted is told by its markup: the article is what the page's ``article`` elements
 hold (else ``main``, else the body), without the elements and class words listed below. Entities are decoded, white
 space becomes one blank, blocks are joined by one blank.
 
@@ -23,6 +23,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -35,6 +36,8 @@ from .common import as_text, broadcast_under, packed, stored, unpacked
 MIN_PAGES, ARTICLE_PAGES, ARTICLE_SHARE = 3, 5, 0.5
 #: a key that holds more than one in so many rows counts as hot; there are at most so many hot keys
 HOT = 10_000
+#: cuts of so many pages are broadcast
+BROADCAST_CUTS = 20_000
 
 # Element names and class words of HTML pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -106,10 +109,11 @@ class _Open:
 
 @dataclass(slots=True)
 class Page:
-    """``runs`` of article text (a run that starts a block begins with a line break), and the subtrees that hold some of it:
-    ``hashes`` and their runs [``first``, ``last``); ``strict`` ones are prose or part of the article."""
+    """``runs`` of visible text (one that starts a block begins with a line break), whether markup leaves them to the ``article``,
+    and the subtrees with text: ``hashes`` and their runs [``first``, ``last``); ``strict`` ones are prose or part of the article."""
 
     runs: list[str] = field(default_factory=list)
+    article: list[bool] = field(default_factory=list)
     hashes: list[int] = field(default_factory=list)
     first: list[int] = field(default_factory=list)
     last: list[int] = field(default_factory=list)
@@ -219,29 +223,28 @@ def parse(text: str) -> Page:
 
     by_article = any(kept and article for _, kept, article, _ in runs)
     by_main = not by_article and any(kept and main for _, kept, _, main in runs)
-    page, number, after_break = Page(), [0], False
-    inside = []
+    page, inside = Page(), []
     for words, kept, article, main in runs:
         here = article if by_article else main if by_main else True
         inside.append(here and (by_article or by_main))
-        if kept and here:
-            page.runs.append("\n" + words if after_break else words)
-            after_break = False
-        else:
-            after_break = True  # what is left out never glues its neighbours together
-        number.append(len(page.runs))
+        page.runs.append(words)
+        page.article.append(kept and here)
+    before = list(accumulate(inside, initial=0))
     for digest, first, last, length, prose in subtrees:
-        if 2 * length <= total and number[first] < number[last]:
+        if 2 * length <= total:
             page.hashes.append(digest)
-            page.first.append(number[first])
-            page.last.append(number[last])
-            page.strict.append(prose or inside[first])
+            page.first.append(first)
+            page.last.append(last)
+            # prose that markup gives to the article, and all that holds text of the article element
+            page.strict.append(before[last] > before[first] or (prose and page.article[first]))
     return page
 
 
-def assembled(runs: list[str], cuts: list[tuple[int, int, bool]]) -> tuple[str, int]:
-    """The text without the cuts ``(first run, last run, strict)``, and how many subtrees took text from it. The strict ones
-    are left out if they would take more than half of the text."""
+def assembled(page: Page, cuts: list[tuple[int, int, bool]]) -> tuple[str, int, int]:
+    """The text of the page without the templates ``(first run, last run, strict)`` and then without what markup tells; how many
+    templates were cut, and how many runs of text were left to markup. The strict cuts are not made if they would
+    take more than half of the article."""
+    runs, article = page.runs, page.article
     gone = [False] * len(runs)
     taken = 0
     sizes = [len("".join(r.split())) for r in runs]
@@ -260,11 +263,13 @@ def assembled(runs: list[str], cuts: list[tuple[int, int, bool]]) -> tuple[str,
     if strict:
         marks = list(gone)
         n = apply(strict, marks)
-        before = sum(s for s, g in zip(sizes, gone) if not g)
-        if 2 * sum(s for s, g in zip(sizes, marks) if not g) >= before:
+        before = sum(s for s, g, a in zip(sizes, gone, article) if a and not g)
+        if 2 * sum(s for s, g, a in zip(sizes, marks, article) if a and not g) >= before:
             gone, taken = marks, taken + n
-    pieces = ["\n" if g else r for r, g in zip(runs, gone)]
-    return " ".join("".join(pieces).split()), taken
+    by_markup = sum(1 for s, g, a in zip(sizes, gone, article) if s and not g and not a)
+    # what is left out never glues its neighbours together
+    pieces = [r if a and not g else "\n" for r, g, a in zip(runs, gone, article)]
+    return " ".join("".join(pieces).split()), taken, by_markup
 
 
 _SUBTREES = "keys array<bigint>, first array<int>, last array<int>, strict array<boolean>, story bigint"
@@ -279,7 +284,7 @@ def _identified(pages: DataFrame, kept: Column, html: str, url: str) -> DataFram
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """Stored, without texts: the subtrees of each page that hold text of its article. A key stands for a subtree of a site, its
+    """Stored, without texts: the subtrees of each page. A key stands for a subtree of a site, its
     lowest bit tells whether it is strict; ``story`` stands for the article."""
     source = pages.where(F.col("site").isNotNull()).select(*_PAGE, "html")
     schema = T.StructType([*source.drop("html").schema, *T.StructType.fromDDL(_SUBTREES)])
@@ -290,7 +295,7 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
                 part = batch.slice(at, 256)
                 found = [parse(h) for h in part.column(3).to_pylist()]
                 keys = [[_key(s, h, k) for h, k in zip(p.hashes, p.strict)] for s, p in zip(part.column(0).to_pylist(), found)]
-                stories = [xxhash.xxh3_64_intdigest("".join(p.runs)) >> 1 for p in found]
+                stories = [xxhash.xxh3_64_intdigest("".join(r for r, a in zip(p.runs, p.article) if a)) >> 1 for p in found]
                 columns = [pa.array(keys, pa.list_(pa.int64()))]
                 columns += [pa.array([getattr(p, n) for p in found], pa.list_(pa.int32())) for n in ("first", "last")]
                 columns += [pa.array([p.strict for p in found], pa.list_(pa.bool_())), pa.array(stories, pa.int64())]
@@ -336,8 +341,9 @@ def main_text(
     article_pages: int = ARTICLE_PAGES,
     article_share: float = ARTICLE_SHARE,
 ) -> DataFrame:
-    """Columns ``keep`` (all by default) with ``text``, ``n_chars`` (code points) and ``n_template`` (template subtrees cut from the page)."""
-    outputs = ["text", "n_chars", "n_template"]
+    """Columns ``keep`` (all by default) with ``text``, ``n_chars`` (code points), ``n_template`` (template subtrees cut from the page) and
+    ``n_markup`` (runs of text that recur too little to be cut, and went by markup)."""
+    outputs = ["text", "n_chars", "n_template", "n_markup"]
     named = _identified(pages, packed(pages, outputs, keep), html, url)
     subtrees = page_subtrees(named)
     templates = site_templates(subtrees, min_pages, article_pages, article_share)
@@ -346,20 +352,20 @@ def main_text(
     total = templates.agg(F.sum("n")).first()[0] or 0
     found = _split_join(each, templates, "key", "n", total, "inner")
     cuts = stored(found.groupBy(*_PAGE).agg(F.collect_set("cut").alias("cuts")))
-    # the texts are dealt anew only if the cuts are too many to go to them
-    joined = named.join(broadcast_under(cuts, 200_000), _PAGE, "left").select("kept", "html", "cuts")
-    schema = T.StructType([joined.schema["kept"], *T.StructType.fromDDL("text string, n_chars bigint, n_template bigint")])
+    # the pages are dealt anew only if the cuts are too many to go to them
+    joined = named.join(broadcast_under(cuts, BROADCAST_CUTS), _PAGE, "left").select("kept", "html", "cuts")
+    schema = T.StructType([joined.schema["kept"], *T.StructType.fromDDL("text string, n_chars bigint, n_template bigint, n_markup bigint")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 done = [
-                    assembled(parse(text).runs, [(c["first"], c["last"], c["strict"]) for c in cuts or ()])
+                    assembled(parse(text), [(c["first"], c["last"], c["strict"]) for c in cuts or ()])
                     for text, cuts in zip(part.column(1).to_pylist(), part.column(2).to_pylist())
                 ]
-                texts, taken = [t for t, _ in done], [n for _, n in done]
-                columns = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(taken, pa.int64())]
+                texts = [t for t, _, _ in done]
+                columns = [pa.array(texts, pa.string()), *[pa.array(x, pa.int64()) for x in ([len(t) for t in texts], [n for _, n, _ in done], [m for _, _, m in done])]]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema.fieldNames())
 
     result = joined.mapInArrow(run, schema)
