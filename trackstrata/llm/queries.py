@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import classifier, conversations, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, ranked_search, url_filter, warc
 from .common import crc_fold
+from .quality_sql import QUALITY
 from .repair_sql import REPAIR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,8 +51,9 @@ URL_GLOBS = [
 @query
 def op1_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"]
-    return quality_rules.divergence(docs).select(*columns)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    distances = [(F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c) for c in ("char_distance", "word_distance")]
+    return quality_rules.divergence(docs).select(*columns, *distances)
 
 
 @query
@@ -221,4 +223,5 @@ item_terms as (
 select item_id, rank, doc_id, score from ranked where rank <= 50
 """,
     "op12_conversation_repair": REPAIR,
+    "op1_quality_rules": QUALITY,
 }
