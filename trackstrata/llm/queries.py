@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import classifier, conversations, decontaminate, html_text, language_id, licenses, near_dup, packing, pii, quality_rules, ranked_search, url_filter, warc
 from .common import crc_fold
+from .licenses_sql import licenses_twin
 from .quality_sql import QUALITY
 from .repair_sql import REPAIR
 
@@ -224,4 +225,5 @@ select item_id, rank, doc_id, score from ranked where rank <= 50
 """,
     "op12_conversation_repair": REPAIR,
     "op1_quality_rules": QUALITY,
+    "op7_licenses": licenses_twin(),
 }
