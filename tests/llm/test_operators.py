@@ -521,6 +521,16 @@ def test_word_tokenizer_is_exact():
         assert tokenizer.ids([text])[0].tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_tokenizer_refuses_cased_vocabularies(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    cased = Tokenizer.from_file(tokenizer_path())
+    cased.normalizer = normalizers.NFC()
+    cased.save(str(tmp_path / "cased.json"))
+    with pytest.raises(ValueError, match="lower-case"):
+        packing.word_tokenizer(str(tmp_path / "cased.json"))
+
+
 def _by(rows, name):
     out = collections.defaultdict(list)
     for r in rows:

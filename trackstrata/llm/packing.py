@@ -47,6 +47,10 @@ class WordTokenizer:
         self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # words are lower-cased and cut at white space here, so the tokenizer must do the same and no more to them
+        normal, sample = self.tokenizer.normalizer, "AZ ÀŽ é\tb\nc"
+        if normal is None or normal.normalize_str(sample) != " ".join(sample.lower().split()):
+            raise ValueError("this tokenizer does not lower-case its text and make white space one blank")
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
