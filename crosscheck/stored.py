@@ -64,8 +64,7 @@ def detection_files(spark: SparkSession, sf_dir: str, broken: bool = False, mixe
 
 def config_files(spark: SparkSession, sf_dir: str) -> str:
     """One JSON document per camera and day, named by its time and device."""
-    table(spark, sf_dir, "events").createOrReplaceTempView("events")
-    starts = spark.sql(STARTS)
+    starts = spark.sql(STARTS.replace("from events", "from {events}"), events=table(spark, sf_dir, "events"))
     stamp = F.date_format("start", "yyyy-MM-dd_HH-mm-ss")
     text = F.to_json(
         F.struct(
