@@ -260,13 +260,14 @@ def test_main_text_markup(spark):
 
 
 def test_main_text_awkward(spark):
-    rows = [(1, None, None), (2, "", ""), (3, "x", "no markup &lt;here&gt; < 5 > 4"), (3, "x", "no markup &lt;here&gt; < 5 > 4"), (None, "https://h/", "<p>a<p>b"), (5, "https://h/", "<div>" * 3000 + "deep" + " &#x1F600;" * 50_000), (6, "https://h/", "<a " * 20_000), (7, "https://h/", "<script>never closed <p>x")]
+    rows = [(1, None, None), (2, "", ""), (3, "x", "no markup &lt;here&gt; < 5 > 4"), (3, "x", "no markup &lt;here&gt; < 5 > 4"), (None, "https://h/", "<p>a<p>b"), (5, "https://h/", "<div>" * 3000 + "deep" + " &#x1F600;" * 50_000), (6, "https://h/", "<a " * 20_000), (7, "https://h/", "<script>never closed <p>x"), (8, "https://h/", "<p>cut <b>off</b> <a href='x"), (9, "https://h/", "1 < 2 <!-- no end <p>x</p>")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({c: F.lit("clash") for c in ("text", "row", "runs", "kept", "site", "keys", "n_chars")})
     got = html_text.main_text(frame)
     assert got.columns == ["page_id", "url", "html", "row", "runs", "kept", "site", "keys", "text", "n_chars", "n_template", "n_markup"]
     found = {(r.page_id, r.html): r for r in got.collect()}
-    assert len(got.collect()) == 8 and all(r.runs == "clash" for r in found.values())
+    assert len(got.collect()) == 10 and all(r.runs == "clash" for r in found.values())
     by_id = {k[0]: r.text for k, r in found.items()}
     assert by_id[1] == by_id[2] == by_id[7] == "" and by_id[3] == "no markup <here> < 5 > 4" and by_id[None] == "a b"
+    assert by_id[6] == "" and by_id[8] == "cut off" and by_id[9] == "1 < 2"
     assert by_id[5] == "deep" + " \U0001f600" * 50_000 and html.unescape("&lt;") == "<"
     assert html_text.main_text(frame.where("false")).count() == 0

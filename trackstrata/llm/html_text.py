@@ -73,6 +73,7 @@ WALLS = frozenset("html body article section main aside nav header footer div ta
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*(?:>|\Z)""", re.S
 )
+UNCLOSED = re.compile(r"<(?=[a-zA-Z/!?])")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 HOST = r"://([^/?#]*)"
 
@@ -167,11 +168,11 @@ def parse(text: str) -> Page:
             top.length += len(core)
             total += len(core)
 
-    at, size = 0, len(text)
+    at, size, last = 0, len(text), text.rfind(">")
     while at < size:
-        found = TOKEN.search(text, at)
+        found = TOKEN.search(text, at) if at <= last else None
         if found is None:
-            text_run(text[at:])
+            text_run(UNCLOSED.split(text[at:], maxsplit=1)[0])  # a tag or comment that never ends is none
             break
         if found.start() > at:
             text_run(text[at : found.start()])
