@@ -651,3 +651,37 @@ def test_classifier_scores_against_a_plain_convolution():
         features = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)])
         plain = 1 / (1 + np.exp(-(features @ net.out + net.out_bias)))
         assert score == pytest.approx(plain, abs=1e-3)
+
+
+def test_near_duplicates_bound_refuses_pairs_below_the_threshold_only(spark, monkeypatch):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    center = rng.choices(vocabulary, k=350)
+    texts = []
+    for _ in range(60):  # most pairs have a similarity just below 0.8, so their samples alone do not tell them apart
+        copy = list(center)
+        for i in rng.sample(range(350), 4):
+            copy[i] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    weights = near_dup.feature_weights(docs)
+    found = near_dup.weighted_sets(docs.withColumnRenamed("doc_id", "_uid"), weights).collect()
+    similar = 0
+    for a in found:
+        for b in found:
+            if a._uid < b._uid:
+                unlike = [bin((x ^ y) & 0xFFFFFFFFFFFFFFFF).count("1") for x, y in zip(a.cells, b.cells)]
+                apart = sum(unlike[: near_dup.CELL_WORDS]) + near_dup.STEP * sum(unlike[near_dup.CELL_WORDS :])
+                most, exact = (a.total + b.total - apart) / (a.total + b.total + apart), near_dup.weighted_jaccard(bytes(a._set), bytes(b._set))
+                assert exact <= most + 1e-6 and most < exact + 0.03
+                similar += exact >= 0.8
+    proposed, store = [], near_dup.stored
+
+    def spy(df):
+        out = store(df)
+        proposed.append(out.count() if "apart" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(near_dup, "stored", spy)
+    near_dup.near_duplicates(docs).count()
+    assert sum(proposed) < 2 * similar < 1000  # of 1,770 pairs
