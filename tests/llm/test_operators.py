@@ -685,3 +685,15 @@ def test_near_duplicates_bound_refuses_pairs_below_the_threshold_only(spark, mon
     monkeypatch.setattr(near_dup, "stored", spy)
     near_dup.near_duplicates(docs).count()
     assert sum(proposed) < 2 * similar < 1000  # of 1,770 pairs
+
+
+def test_quality_classes_of_characters(spark):
+    texts = ["", "aé Zz 09\t\n\x0b\x0c\r.,;:?'\"()-!#*$%&|<>@=~^_+/{}[]\\`\x00\x1f\x7f𝒳ß", "plain words only", " \n ", "ÀÉ中文 x"]
+    kinds = ["[a-z]", "[A-Z]", "[0-9]", r"""[.,;:?'"()-]""", r"[!#*$%&|<>@=~^_+/{}\[\]\\]", r"[^\x00-\x7F]", r"[\x20\x09-\x0D]"]
+    docs = spark.createDataFrame([(t, len(re.findall(kinds[-1], t))) for t in texts], "t string, b int")
+    for blanks in (None, "b"):
+        counts = quality_rules.class_counts("t", blanks)
+        assert counts.count("regexp_replace(t,") == 1  # the other searches are in the few characters left by it
+        for r in docs.select("t", F.expr(counts).alias("c")).collect():
+            wanted = [len(re.findall(k, r.t)) for k in kinds]
+            assert r.c == [*wanted, len(r.t) - sum(wanted)]

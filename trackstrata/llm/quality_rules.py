@@ -68,11 +68,15 @@ def with_counts(docs: DataFrame, text: str = "t") -> DataFrame:
 
 
 def class_counts(text: str = "t", blanks: str | None = None) -> str:
-    """SQL text: characters of each class, then blanks and what is of no class, as an array of doubles."""
-    blanks = blanks or f"char_length({text}) - char_length(regexp_replace({text}, '{BLANK}+', ''))"
-    parts = [f"char_length(regexp_replace({text}, '{drop}', ''))" for drop in CLASSES.values()]
-    listed = f"transform(array({', '.join(parts)}, {blanks}), x -> cast(x as double))"
-    return let(listed, "a", f"concat(a, array(cast(char_length({text}) as double) - aggregate(a, 0D, (s, x) -> s + x)))")
+    """SQL text: characters of each class, then blanks and what is of no class, as an array of doubles. Most of a text is
+    lower-case letters and spaces, so only what is left without them is searched for the other classes."""
+    controls = "char_length(regexp_replace(rest, '[^\\\\x09-\\\\x0D]+', ''))"
+    spaces = f"octet_length({text}) - octet_length(replace({text}, ' ', ''))" if blanks is None else f"{blanks} - {controls}"
+    parts = [f"char_length(regexp_replace(rest, '{drop}', ''))" for name, drop in CLASSES.items() if name != "lower"]
+    lower = f"char_length({text}) - char_length(rest) - sp"
+    listed = let(spaces, "sp", f"transform(array({lower}, {', '.join(parts)}, sp + {controls}), x -> cast(x as double))")
+    counted = let(listed, "a", f"concat(a, array(cast(char_length({text}) as double) - aggregate(a, 0D, (s, x) -> s + x)))")
+    return let(f"regexp_replace({text}, '[a-z ]+', '')", "rest", counted)
 
 
 def plain_words(text: str = "t") -> str:
