@@ -697,3 +697,13 @@ def test_quality_classes_of_characters(spark):
         for r in docs.select("t", F.expr(counts).alias("c")).collect():
             wanted = [len(re.findall(k, r.t)) for k in kinds]
             assert r.c == [*wanted, len(r.t) - sum(wanted)]
+
+
+def test_word_tokenizer_knows_a_word_by_one_spelling():
+    tokenizer, rng = packing.WordTokenizer(tokenizer_path()), random.Random(2)
+    for _ in range(1500):
+        text = "".join(rng.choice(["ab", "É", "ŉ", "Σ", "'s", "'", ".", "$$$", "!", " ", "  ", "\n", "7", "_", "İ", "`", "ÿ", "²"][: rng.choice([2, 8, 18])]) for _ in range(rng.randint(0, 30)))
+        assert tokenizer.ids([text])[0].tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer._clear()
+    tokenizer.ids(["Word word. WORD, word!! Word.$$$ word;", "Größe größe? GRÖSSE größe.%%% größe:"])
+    assert {w for w in tokenizer.known if w.strip(".,;:?!$%")} == {"word", "größe", "grösse"}

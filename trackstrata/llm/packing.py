@@ -12,6 +12,7 @@ ids are packed as rows of their own. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +30,10 @@ WINDOW, END_ID = 4096, 2
 GROUP_SIZE = 4096
 CACHED_WORDS, CACHED_IDS, LONG_TEXT = 700_000, 1 << 22, 1 << 20
 MARKS = frozenset(".,;:?!")
+#: ASCII punctuation after a letter and before a blank, without apostrophes, which may begin a part such as 's.
+_MARK = re.compile(r"[!-&(-/:-@\[-`{-~](?<=[a-zß-öø-ÿ].)[!-&(-/:-@\[-`{-~]*(?= |\Z)")
+#: Beyond U+017F, or not one letter in lower case.
+_OTHER = re.compile("[^\x00-\u017f]|[\u0130\u0149]")
 
 
 class WordTokenizer:
@@ -38,6 +43,8 @@ class WordTokenizer:
     of a text are then those of its blank-separated parts, one after the other. A part of Latin letters only is one
     word of the vocabulary's merges, so unknown ones are coded many at a time and cut at the word ends
     in the ids; a mark after such a word is a part of its own. All other parts go through the tokenizer as they are.
+    Texts of Latin letters are lower-cased as a whole, and punctuation between a letter and a blank set apart in them, so that a word is
+    known by one spelling and without its marks.
     """
 
     def __init__(self, path: str):
@@ -81,10 +88,12 @@ class WordTokenizer:
         self.used += len(ids)
 
     def _learn(self, words: list[str]) -> None:
-        known, other = self.known, []
+        known, other, plain = self.known, [], []
         simple, simple_stems, marked, marked_stems = [], [], [], []
         for word in words:
-            if _latin(word):
+            if word.islower() and word.isascii() and word.isalpha():
+                plain.append(word)
+            elif _latin(word):
                 simple.append(word)
                 simple_stems.append(word.lower())
             elif word[-1] in MARKS and _latin(word[:-1]):
@@ -92,7 +101,7 @@ class WordTokenizer:
                 marked_stems.append(word[:-1].lower())
             else:
                 other.append(word)
-        self._learn_plain([stem for stem in {*simple_stems, *marked_stems} if stem not in known])
+        self._learn_plain([stem for stem in {*plain, *simple_stems, *marked_stems} if stem not in known])
         other += [mark for mark in MARKS if mark not in known and mark not in other]
         for at in range(0, len(other), 4096):
             part = other[at : at + 4096]
@@ -116,7 +125,7 @@ class WordTokenizer:
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text; together the texts should be of bounded size."""
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        parts = [_spelled(t.replace("\n", " ").replace("\t", " ").replace("\r", " ")).split(" ") for t in texts]
         if len(self.known) > CACHED_WORDS or self.used > CACHED_IDS:
             self._clear()
         words = list(chain.from_iterable(parts))
@@ -149,6 +158,14 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+def _spelled(text: str) -> str:
+    """Lower case, with a blank before punctuation that follows a letter and ends at a blank; unchanged if not all of Latin letters, as
+    other ones may depend on their neighbours."""
+    if not text.isascii() and _OTHER.search(text):
+        return text
+    return _MARK.sub(r" \g<0>", text.lower())
+
+
 def _latin(word: str) -> bool:
     """Letters up to U+017F whose lower case is one letter: neither normalization nor the pre-tokenizer changes or cuts them."""
     return word.isalpha() and (word.isascii() or max(word) <= "\u017f" and "\u0130" not in word and "\u0149" not in word)
