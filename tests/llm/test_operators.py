@@ -707,3 +707,9 @@ def test_word_tokenizer_knows_a_word_by_one_spelling():
     tokenizer._clear()
     tokenizer.ids(["Word word. WORD, word!! Word.$$$ word;", "Größe größe? GRÖSSE größe.%%% größe:"])
     assert {w for w in tokenizer.known if w.strip(".,;:?!$%")} == {"word", "größe", "grösse"}
+
+
+def test_pipeline_stages_bound_their_batches(spark):
+    corpus_pipeline.stage(lambda spark, docs, sf_dir: docs)(spark, spark.range(1), SMALL)
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    assert all(0 < int(spark.conf.get(name)) <= 512 for name in names)
