@@ -392,6 +392,33 @@ def test_licenses_of_whole_texts_and_headers(spark):
     assert got == expected
 
 
+def test_license_scores_are_a_plain_loop_and_one_shuffle_by_notice(spark):
+    """Every shuffle is as many tasks as the session has partitions, whatever the size of the notices: none by template, one by notice."""
+    templates = {"MIT": ["released under the mit license", "mit license text"], "mit": "nothing of the kind", "GPL": "the general public license, the license"}
+    texts = ["released under the MIT license", "the license", "MIT and GPL: the general public license", "none of it", "--", "SPDX-License-Identifier: Mit the license", "SPDX-License-Identifier: other mit license"]
+    notices = [(str(i), text, i + 1) for i, text in enumerate(texts)]
+    scores = licenses._scores(stored(spark.createDataFrame(notices, "_notice string, body string, files long")), templates, 0.3)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_notice") == 1 and "hashpartitioning(license" not in plan and "ExistingRDD" not in plan
+    terms = [collections.Counter(re.findall("[a-z0-9]+", text.lower())) for text in texts]
+    idf = collections.defaultdict(lambda: np.log(1 + sum(n for _, _, n in notices)) + 1)
+    for term in {t for words in terms for t in words}:
+        idf[term] = np.log((1 + sum(n for _, _, n in notices)) / (1 + sum(n for words, (_, _, n) in zip(terms, notices, strict=True) if term in words))) + 1
+    expected = {"5": ("MIT", 1.0)}
+    for words, (digest, text, _) in zip(terms, notices, strict=True):
+        best = []
+        for name, body in (("MIT", templates["MIT"][0]), ("MIT", templates["MIT"][1]), ("mit", templates["mit"]), ("GPL", templates["GPL"])):
+            wanted = collections.Counter(re.findall("[a-z0-9]+", body.lower()))
+            dot = sum(words[t] * wanted[t] * idf[t] ** 2 for t in wanted)
+            norms = [np.sqrt(sum((n * idf[t]) ** 2 for t, n in c.items())) for c in (words, wanted)]
+            best += [(-round(float(dot / norms[0] / norms[1]), 6), name)] if dot and dot / norms[0] / norms[1] >= 0.3 else []
+        if best and "SPDX" not in text:
+            expected[digest] = (min(best)[1], -min(best)[0])
+    assert len(expected) >= 4
+    got = {r._notice: (r.own_license, r.own_score) for r in scores.collect()}
+    assert got.keys() == expected.keys() and all(got[k][0] == expected[k][0] and abs(got[k][1] - expected[k][1]) < 2e-6 for k in expected)
+
+
 def test_licenses_query_is_whole(spark, connection):
     rows = QUERIES["op7_licenses"](spark, SMALL).collect()
     assert len(rows) == connection.sql("select count(*) from documents").fetchall()[0][0]

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import OWN, broadcast_under, shielded, stored
@@ -83,31 +84,42 @@ def notice_of(path: str = "path", text: str = "text") -> Column:
     return F.when(base.rlike(LICENCE_FILE), F.coalesce(F.col(text).cast("string"), F.lit(""))).otherwise(marked)
 
 
+def _fixed(spark: SparkSession, columns: dict[str, tuple[pa.DataType, list]]) -> DataFrame:
+    """A table of constants in the plan itself: no Python worker deals it out. In one partition, so that grouping it takes no shuffle."""
+    return spark.createDataFrame(pa.table({name: pa.array(values, kind) for name, (kind, values) in columns.items()})).coalesce(1)
+
+
 def _scores(notices: DataFrame, templates: dict[str, str | list[str]], threshold: float) -> DataFrame:
     """``_notice`` (digest), ``own_license``, ``own_score`` of the notices (digest, text, files) that match a template."""
     spark = notices.sparkSession
-    terms = notices.select("_notice", "files", F.explode(_terms("body")).alias("term")).groupBy("_notice", "files", "term").agg(F.count("*").alias("tf"))
-    terms = stored(terms)
+    tag = F.lower(F.regexp_extract("body", SPDX, 1))
+    notices = notices.select("*", tag.alias("tag"))
+    terms = notices.select("_notice", "files", (F.col("tag") != "").alias("tagged"), F.explode(_terms("body")).alias("term"))
+    terms = stored(terms.groupBy("_notice", "files", "tagged", "term").agg(F.count("*").alias("tf")))
     files = notices.agg(F.sum("files")).first()[0] or 0
     df = terms.groupBy("term").agg(F.sum("files").alias("df"))
     idf = F.log((F.lit(float(files)) + 1) / (F.coalesce(F.col("df"), F.lit(0)) + 1)) + 1
     forms = [(k, i, body, max(threshold, WHOLE_THRESHOLD) if len(body.split()) >= WHOLE_WORDS else threshold) for k, listed in templates.items() for i, body in enumerate([listed] if isinstance(listed, str) else listed)]
-    known = spark.createDataFrame(forms, "license string, form int, body string, least double")
+    kinds = {"license": pa.string(), "form": pa.int32(), "body": pa.string(), "least": pa.float64()}
+    known = _fixed(spark, {name: (kind, [f[i] for f in forms]) for i, (name, kind) in enumerate(kinds.items())})
     form = ["license", "form", "least"]
+    # of the counts of all terms, those of the templates' own terms come to the one partition of the templates
+    ours = df.join(F.broadcast(known.select(F.explode(_terms("body")).alias("term")).distinct()), "term", "left_semi")
     wanted = known.select(*form, F.explode(_terms("body")).alias("term")).groupBy(*form, "term").agg(F.count("*").alias("ttf"))
-    wanted = wanted.join(df, "term", "left").select(*form, "term", (F.col("ttf") * idf).alias("tw"))
-    wanted = stored(wanted.join(wanted.groupBy("license", "form").agg(F.sqrt(F.sum(F.col("tw") ** 2)).alias("tnorm")), ["license", "form"]))
-    weighed = terms.join(df, "term").select("_notice", "term", (F.col("tf") * idf).alias("w"))
-    norms = weighed.groupBy("_notice").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-    dots = weighed.join(F.broadcast(wanted), "term").groupBy("_notice", *form, "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    cosine = dots.join(norms, "_notice").withColumn("own_score", F.round(F.col("dot") / F.col("norm") / F.col("tnorm"), 6)).where(F.col("own_score") >= F.col("least"))
-    # the SPDX line of a template's licence is a template of its own; as close as that, but for the identifier, are other licences' lines
-    tagged = notices.select("_notice", F.lower(F.regexp_extract("body", SPDX, 1)).alias("tag")).where(F.col("tag") != "")
-    names = spark.createDataFrame([(k.lower(), k) for k in templates], "tag string, license string")
-    tags = tagged.join(F.broadcast(names), "tag", "left").select("_notice", "license", F.lit(1.0).alias("own_score"))
-    cosine = cosine.join(tags.select("_notice"), "_notice", "left_anti").select("_notice", "license", "own_score").unionByName(tags.where(F.col("license").isNotNull()))
+    wanted = wanted.join(F.broadcast(ours), "term", "left").select(*form, "term", (F.col("ttf") * idf).alias("tw"))
+    wanted = wanted.withColumn("tnorm", F.sqrt(F.sum(F.col("tw") ** 2).over(Window.partitionBy("license", "form"))))
+    # dealt out by notice once: norms, products and the best template all follow from there without another shuffle
+    weighed = terms.where(~F.col("tagged")).join(df, "term").select("_notice", "term", (F.col("tf") * idf).alias("w"))
+    weighed = weighed.withColumn("norm", F.sqrt(F.sum(F.col("w") ** 2).over(Window.partitionBy("_notice"))))
+    dots = weighed.join(F.broadcast(wanted), "term").groupBy("_notice", *form, "norm", "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    cosine = dots.withColumn("own_score", F.round(F.col("dot") / F.col("norm") / F.col("tnorm"), 6)).where(F.col("own_score") >= F.col("least"))
     best = cosine.groupBy("_notice").agg(F.min(F.struct((-F.col("own_score")).alias("s"), F.col("license").alias("l"))).alias("b"))
-    return best.select("_notice", F.col("b.l").alias("own_license"), (-F.col("b.s")).alias("own_score"))
+    best = best.select("_notice", F.col("b.l").alias("own_license"), (-F.col("b.s")).alias("own_score"))
+    # the SPDX line of a template's licence is a template of its own; as close as that, but for the identifier, are other licences' lines
+    named = {k.lower(): k for k in sorted(templates, reverse=True)}  # of names that differ by case only, the smaller one
+    names = _fixed(spark, {"tag": (pa.string(), [*named]), "own_license": (pa.string(), [*named.values()])})
+    tags = notices.where(F.col("tag") != "").join(F.broadcast(names), "tag").select("_notice", "own_license", F.lit(1.0).alias("own_score"))
+    return best.unionByName(tags)
 
 
 def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str | list[str]] | None = None, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
