@@ -392,14 +392,14 @@ def test_licenses_of_whole_texts_and_headers(spark):
     assert got == expected
 
 
-def test_license_scores_are_a_plain_loop_and_one_shuffle_by_notice(spark):
-    """Every shuffle is as many tasks as the session has partitions, whatever the size of the notices: none by template, one by notice."""
+def test_license_scores_are_a_plain_loop_and_shuffle_little(spark):
+    """Every shuffle is as many tasks as the session has partitions, whatever the size of the notices: none by template, two by notice."""
     templates = {"MIT": ["released under the mit license", "mit license text"], "mit": "nothing of the kind", "GPL": "the general public license, the license"}
     texts = ["released under the MIT license", "the license", "MIT and GPL: the general public license", "none of it", "--", "SPDX-License-Identifier: Mit the license", "SPDX-License-Identifier: other mit license"]
     notices = [(str(i), text, i + 1) for i, text in enumerate(texts)]
     scores = licenses._scores(stored(spark.createDataFrame(notices, "_notice string, body string, files long")), templates, 0.3)
     plan = scores._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning(_notice") == 1 and "hashpartitioning(license" not in plan and "ExistingRDD" not in plan
+    assert plan.count("hashpartitioning(_notice") == 2 and "hashpartitioning(license" not in plan and "ExistingRDD" not in plan
     terms = [collections.Counter(re.findall("[a-z0-9]+", text.lower())) for text in texts]
     idf = collections.defaultdict(lambda: np.log(1 + sum(n for _, _, n in notices)) + 1)
     for term in {t for words in terms for t in words}:
@@ -417,6 +417,7 @@ def test_license_scores_are_a_plain_loop_and_one_shuffle_by_notice(spark):
     assert len(expected) >= 4
     got = {r._notice: (r.own_license, r.own_score) for r in scores.collect()}
     assert got.keys() == expected.keys() and all(got[k][0] == expected[k][0] and abs(got[k][1] - expected[k][1]) < 2e-6 for k in expected)
+    assert licenses._scores(stored(spark.createDataFrame(notices, "_notice string, body string, files long")), {}, 0.3).count() == 0
 
 
 def test_licenses_query_is_whole(spark, connection):

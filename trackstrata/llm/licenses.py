@@ -108,10 +108,13 @@ def _scores(notices: DataFrame, templates: dict[str, str | list[str]], threshold
     wanted = known.select(*form, F.explode(_terms("body")).alias("term")).groupBy(*form, "term").agg(F.count("*").alias("ttf"))
     wanted = wanted.join(F.broadcast(ours), "term", "left").select(*form, "term", (F.col("ttf") * idf).alias("tw"))
     wanted = wanted.withColumn("tnorm", F.sqrt(F.sum(F.col("tw") ** 2).over(Window.partitionBy("license", "form"))))
-    # dealt out by notice once: norms, products and the best template all follow from there without another shuffle
     weighed = terms.where(~F.col("tagged")).join(df, "term").select("_notice", "term", (F.col("tf") * idf).alias("w"))
-    weighed = weighed.withColumn("norm", F.sqrt(F.sum(F.col("w") ** 2).over(Window.partitionBy("_notice"))))
-    dots = weighed.join(F.broadcast(wanted), "term").groupBy("_notice", *form, "norm", "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    # a term meets itself, for the norm, and the forms that hold it: what a long notice deals out are the sums of its parts, a row a form
+    meets = wanted.groupBy("term").agg(F.collect_list(F.struct(*form, "tnorm", "tw")).alias("forms"))
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("license"), F.lit(-1).alias("form"), F.lit(0.0).alias("least"), F.lit(1.0).alias("tnorm"), F.col("w").alias("tw")))
+    met = weighed.join(F.broadcast(meets), "term", "left").select("_notice", "w", F.inline(F.when(F.col("forms").isNull(), itself).otherwise(F.concat(itself, "forms"))))
+    dots = met.groupBy("_notice", *form, "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    dots = dots.withColumn("norm", F.max(F.when(F.col("form") < 0, F.sqrt("dot"))).over(Window.partitionBy("_notice"))).where(F.col("form") >= 0)
     cosine = dots.withColumn("own_score", F.round(F.col("dot") / F.col("norm") / F.col("tnorm"), 6)).where(F.col("own_score") >= F.col("least"))
     best = cosine.groupBy("_notice").agg(F.min(F.struct((-F.col("own_score")).alias("s"), F.col("license").alias("l"))).alias("b"))
     best = best.select("_notice", F.col("b.l").alias("own_license"), (-F.col("b.s")).alias("own_score"))
